@@ -338,7 +338,7 @@ def _(t: Tables):
               round(sum(items) OVER (ORDER BY items DESC) / n::DOUBLE, 4) AS cumulative_share FROM per, total""",
 )
 def _(t: Tables):
-    return _round(plays.user_activity(t.plays), "share", "cumulative_share")
+    return _round(plays.user_activity(t.saved_plays), "share", "cumulative_share")
 
 
 @query(
@@ -347,7 +347,7 @@ def _(t: Tables):
               round(count(*) / (SELECT count(DISTINCT user_id) FROM plays)::DOUBLE, 4) AS share FROM plays GROUP BY item_id""",
 )
 def _(t: Tables):
-    return _round(plays.item_popularity(t.plays), "share")
+    return _round(plays.item_popularity(t.saved_plays), "share")
 
 
 @query(
@@ -355,7 +355,7 @@ def _(t: Tables):
     "SELECT * FROM plays WHERE user_id NOT IN (SELECT user_id FROM plays WHERE play_count > 50)",
 )
 def _(t: Tables):
-    return plays.drop_heavy_repeaters(t.plays, 50)
+    return plays.drop_heavy_repeaters(t.saved_plays, 50)
 
 
 @query(
@@ -365,7 +365,7 @@ def _(t: Tables):
        SELECT * FROM plays WHERE user_id IN (SELECT user_id FROM u) AND item_id IN (SELECT item_id FROM i)""",
 )
 def _(t: Tables):
-    return plays.trim_sparse(t.plays, 30, 20)
+    return plays.trim_sparse(t.saved_plays, 30, 20)
 
 
 @query(
@@ -376,12 +376,12 @@ def _(t: Tables):
        SELECT user_id, count(*) AS items, CAST(sum(play_count) AS BIGINT) AS plays FROM kept GROUP BY user_id HAVING count(*) < 30""",
 )
 def _(t: Tables):
-    return plays.leftovers(plays.trim_sparse(t.plays, 30, 30), 30)
+    return plays.leftovers(plays.trim_sparse(t.saved_plays, 30, 30), 30)
 
 
 @query("trim_sparse_to_fixed_point")
 def _(t: Tables):
-    return plays.trim_sparse(t.plays, 25, 20, iterate=True)
+    return plays.trim_sparse(t.saved_plays, 25, 20, iterate=True)
 
 
 @query(

@@ -6,6 +6,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from tallyfield.catalog.columns import DRAW
 from tallyfield.catalog.registry import query
 from tallyfield.catalog.views import FEATURES, Tables
 from tallyfield.functions import binary_label
@@ -91,16 +92,25 @@ def _(t: Tables):
        SELECT p.*, u."user", i.item FROM plays p JOIN u ON p.user_id = u.user_id JOIN i ON p.item_id = i.item_id""",
 )
 def _(t: Tables):
-    return index_strings(t.plays, {"user_id": "user", "item_id": "item"})
+    return index_strings(t.saved_plays, {"user_id": "user", "item_id": "item"})
 
 
-@query("fit_on_train_only")
+@query(
+    "fit_on_train_only",
+    f"""WITH parts AS (SELECT *, CASE WHEN {DRAW.format(seed=1000, key='CAST(vec_id AS VARCHAR)')} < 0.8 THEN 'train' ELSE 'test' END AS part FROM feat)
+        SELECT vec_id, part, """
+    + ", ".join(
+        f"round({f} / (SELECT stddev_samp({f}) FROM parts WHERE part = 'train'), 4) AS {f}" for f in FEATURES
+    )
+    + " FROM parts",
+)
 def _(t: Tables):
     df = assemble(t.feat, FEATURES)
     train_part, test_part = random_split(df, [0.8, 0.2], 1000, ["vec_id"])
     a, b, _ = fit_apply(Pipeline(stages=[scaler()]), train_part, test_part, ["vec_id", "scaled"])
     rows = a.withColumn("part", F.lit("train")).unionByName(b.withColumn("part", F.lit("test")))
-    return rows.select("vec_id", "part", vector_to_array("scaled").alias("scaled"))
+    v = vector_to_array("scaled")
+    return rows.select("vec_id", "part", *[F.round(v[i], 4).alias(f) for i, f in enumerate(FEATURES)])
 
 
 def _model_query(name: str, weight: bool = False):
@@ -144,7 +154,8 @@ def _(t: Tables):
 @query("tune_linear_models")
 def _(t: Tables):
     base = pin(_labelled(t), "labelled")
-    return tune_all(base, {name: GRIDS[name] for name in ("lr", "svm")}, folds=10)
+    # The full default grids, on fewer folds than tune() takes by default.
+    return tune_all(base, {name: GRIDS[name] for name in ("lr", "svm")}, folds=3)
 
 
 @query("tune_tree_models")
@@ -176,26 +187,26 @@ def _(t: Tables):
 
 @query("als_scored_pairs")
 def _(t: Tables):
-    ratings = pin(indexed(t.plays), "ratings")
+    ratings = pin(indexed(t.saved_plays), "ratings")
     scored = als_score(als_fit(ratings), ratings)
     return scored.select("user_id", "item_id", "play_count", "prediction")
 
 
 @query("als_recommend_all_users")
 def _(t: Tables):
-    ratings = pin(indexed(t.plays), "ratings")
+    ratings = pin(indexed(t.saved_plays), "ratings")
     return recommend(als_fit(ratings), 10)
 
 
 @query("als_recommend_unseen")
 def _(t: Tables):
-    ratings = pin(indexed(t.plays), "ratings")
+    ratings = pin(indexed(t.saved_plays), "ratings")
     return recommend(als_fit(ratings), 10, exclude_seen=ratings)
 
 
 @query("als_compare_for_users")
 def _(t: Tables):
-    ratings = pin(indexed(t.plays), "ratings")
+    ratings = pin(indexed(t.saved_plays), "ratings")
     recs = recommend(als_fit(ratings), 10)
     busiest = ratings.groupBy("user").agg(F.sum("play_count").alias("plays"))
     users = top_n(busiest, [F.desc("plays"), "user"], 3).select("user")
@@ -204,4 +215,4 @@ def _(t: Tables):
 
 @query("recommendation_metrics")
 def _(t: Tables):
-    return recommendation_run(t.plays)
+    return recommendation_run(t.saved_plays)

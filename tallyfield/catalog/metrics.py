@@ -18,6 +18,7 @@ from tallyfield.operators.evaluation import (
     ranking_lists,
     rmse,
 )
+from tallyfield.operators.scale import keyed_join
 
 
 def _rounded(df, *cols, places: int = 6):
@@ -110,12 +111,12 @@ LISTS = """
 
 
 def _lists(t: Tables):
-    lines = t("lineitem").groupBy("l_orderkey", "l_partkey").agg(F.max("l_extendedprice").alias("s"))
-    orders = t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    lines = t("lineitem").select("l_orderkey", F.col("l_partkey").alias("item_id"), "l_extendedprice")
+    orders = t("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("user_id"))
     offers = (
-        orders.join(lines, "l_orderkey")
-        .groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"))
-        .agg(F.max("s").alias("score"))
+        keyed_join(lines, orders, ["l_orderkey"], "inner")
+        .groupBy("user_id", "item_id")
+        .agg(F.max("l_extendedprice").alias("score"))
     )
     return ranking_lists(offers, t.plays, 10, "user_id", "item_id", "score", "play_count")
 

@@ -49,13 +49,10 @@ def _(t: Tables):
        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY o.o_custkey""",
 )
 def _(t: Tables):
-    # Lines are summed per order first, then an order meets one row.
-    lines = t("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("q")
-    )
-    joined = t("orders").select("o_orderkey", "o_custkey").join(lines, "o_orderkey")
+    lines = t("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity")
+    joined = keyed_join(lines, t("orders").select("o_orderkey", "o_custkey"), ["o_orderkey"], "inner")
     return joined.groupBy("o_custkey").agg(
-        F.sum("n").alias("lines"), F.sum("q").cast("bigint").alias("quantity")
+        F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").cast("bigint").alias("quantity")
     )
 
 

@@ -95,8 +95,8 @@ def _(t: Tables):
 
 @query("distinct_keys", "SELECT count(DISTINCT user_id) AS users, count(DISTINCT item_id) AS items FROM plays")
 def _(t: Tables):
-    users = t.plays.agg(F.count_distinct("user_id").alias("users"))
-    items = t.plays.agg(F.count_distinct("item_id").alias("items"))
+    users = t.saved_plays.agg(F.count_distinct("user_id").alias("users"))
+    items = t.saved_plays.agg(F.count_distinct("item_id").alias("items"))
     return users.withColumn("items", items.scalar())
 
 

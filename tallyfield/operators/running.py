@@ -65,22 +65,18 @@ def cumulative_share(
 
 def ecdf(df: DataFrame, col: str) -> DataFrame:
     """(value, n, ecdf): share of rows at or below each value."""
-    steps = histogram(df, col)
+    steps = histogram(df.select(F.col(col).alias("value")), "value")
     total = steps.agg(F.sum("n").alias("t")).scalar()
-    return prefix_sums(steps, [], [col], {"_below": F.col("n")}).select(
-        F.col(col).alias("value"), "n", (F.col("_below") / total).alias("ecdf")
-    )
+    steps = prefix_sums(steps, [], ["value"], {"_upto": F.col("n")})
+    return steps.select("value", "n", (F.col("_upto") / total).alias("ecdf"))
 
 
 def rank_size(df: DataFrame, col: str) -> DataFrame:
     """(value, n, first_rank, last_rank): places taken by each value, largest first."""
-    steps = prefix_sums(histogram(df, col), [], [F.desc(col)], {"last_rank": F.col("n")})
-    return steps.select(
-        F.col(col).alias("value"),
-        "n",
-        (F.col("last_rank") - F.col("n") + 1).alias("first_rank"),
-        "last_rank",
-    )
+    steps = histogram(df.select(F.col(col).alias("value")), "value")
+    steps = prefix_sums(steps, [], [F.desc("value")], {"last_rank": F.col("n")})
+    first = (F.col("last_rank") - F.col("n") + 1).alias("first_rank")
+    return steps.select("value", "n", first, "last_rank")
 
 
 def top_k_per_group(

@@ -74,7 +74,15 @@ def salted_join(
         )
         .drop("_salts")
     )
-    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
+    joined = salted_left.join(salted_right, [*on, "_salt"], how)
+    return joined.select(*_result_columns(left, right, on, how))
+
+
+def _result_columns(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> list[str]:
+    """Left columns in their order, then what the right side adds."""
+    if how in ("left_semi", "left_anti"):
+        return left.columns
+    return left.columns + [c for c in right.columns if c not in on]
 
 
 def keyed_join(
@@ -87,7 +95,8 @@ def keyed_join(
 ) -> DataFrame:
     """Broadcast ``right`` when it is measured to be small, salt the join otherwise."""
     if fits_broadcast(right, max_rows):
-        return left.join(F.broadcast(right), list(on), how)
+        joined = left.join(F.broadcast(right), list(on), how)
+        return joined.select(*_result_columns(left, right, on, how))
     return salted_join(left, right, on, how, hot_rows)
 
 

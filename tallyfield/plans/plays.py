@@ -74,21 +74,22 @@ def trim_sparse(
     Both tests use the counts before the step. ``iterate`` repeats the step
     until nothing more is dropped. ``measure='plays'`` tests an item's plays.
     """
+    rows = plays.count() if iterate else None
     for _ in range(max_rounds if iterate else 1):
         quiet = (
             plays.groupBy("user_id").agg(F.count("item_id").alias("n")).filter(F.col("n") < min_items)
         )
         size = F.count("user_id") if measure == "users" else F.sum("play_count")
         rare = plays.groupBy("item_id").agg(size.alias("n")).filter(F.col("n") < min_users)
-        quiet, rare = pin(quiet.select("user_id"), "quiet"), pin(rare.select("item_id"), "rare")
-        if iterate and quiet.isEmpty() and rare.isEmpty():
-            return plays
         plays = exclude(exclude(plays, quiet, "user_id"), rare, "item_id")
-        if iterate:
-            plays = pin(plays, "trimmed")
-    if iterate:
-        raise RuntimeError(f"trimming did not settle in {max_rounds} rounds")
-    return plays
+        if not iterate:
+            return plays
+        plays = pin(plays, "trimmed")
+        left = plays.count()
+        if left == rows:
+            return plays
+        rows = left
+    raise RuntimeError(f"trimming did not settle in {max_rounds} rounds")
 
 
 def leftovers(plays: DataFrame, min_items: int) -> DataFrame:
