@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -404,10 +406,27 @@ def _(t: Tables):
     return distribution(genres.label_features(t.feat.select("vec_id"), t.genre, bad, "vec_id", "genre"), "genre")
 
 
-@query("feature_profile")
+RELATED = " UNION ALL ".join(
+    f"SELECT unnest(['{a}', '{b}']) AS c FROM feat HAVING abs(corr({a}, {b})) > 0.05"
+    for a, b in combinations(FEATURES, 2)
+)
+STATS = " UNION ALL ".join(
+    f"""SELECT '{f}' AS c, count({f}) AS count, round(avg({f}), 6) AS mean, round(stddev_samp({f}), 6) AS stddev,
+               round(min({f}), 6) AS min, round(max({f}), 6) AS max FROM feat"""
+    for f in FEATURES
+)
+
+
+@query(
+    "feature_profile",
+    f"""WITH related AS ({RELATED}), stats AS ({STATS})
+        SELECT c AS "column", count, mean, stddev, min, max,
+               (SELECT count(*) FROM related WHERE related.c = stats.c) AS related_columns FROM stats""",
+)
 def _(t: Tables):
     stats, pairs = genres.feature_profile(t.feat, FEATURES, min_abs=0.05)
     related = pairs.withColumn("c", F.explode(F.array("col_1", "col_2"))).groupBy("c").agg(
         F.count(F.lit(1)).alias("related_columns")
     )
+    stats = _round(stats, "mean", "stddev", "min", "max", places=6)
     return stats.join(related.withColumnRenamed("c", "column"), "column", "left").fillna(0, "related_columns")

@@ -26,7 +26,7 @@ from tallyfield.sources.readers import (
     read_many,
     read_table,
 )
-from tallyfield.sources.writers import file_inventory, rows_per_file, save, save_all
+from tallyfield.sources.writers import file_inventory, land, rows_per_file, save, save_all
 
 OBS_SCHEMA = "station_id string, obs_date string, element string, value bigint, quality_flag string"
 RAIN_SCHEMA = "station_id bigint, rain_year int, value bigint, quality_flag string"
@@ -67,6 +67,16 @@ def _(t: Tables):
     return _sums(read_delimited(t.spark, f"{base}/year={{199[6-8],200[01]}}/*.*", RAIN_SCHEMA))
 
 
+@query(
+    "land_as_parquet",
+    "SELECT year, quality_flag, CAST(sum(value) AS BIGINT) AS total FROM rain GROUP BY year, quality_flag",
+)
+def _(t: Tables):
+    dest = scratch_path(t.spark, "landed")
+    table = land(t.spark, f"{_year_files(t)}/*", RAIN_SCHEMA, dest, partition_by=["rain_year"])
+    return table.groupBy(F.col("rain_year").alias("year"), "quality_flag").agg(F.sum("value").alias("total"))
+
+
 @query("read_tab_separated", "SELECT * FROM plays")
 def _(t: Tables):
     path = _write(t, t.plays, "plays", sep="\t")

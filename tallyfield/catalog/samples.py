@@ -93,7 +93,7 @@ SPLIT = """
     SPLIT + " SELECT user_id, item_id, r % 5 = 1 AND size > 1 AS in_test FROM numbered",
 )
 def _(t: Tables):
-    train, test = per_group_split(t.plays.select("user_id", "item_id"), ["user_id"], ["item_id"])
+    train, test = per_group_split(t.saved_plays.select("user_id", "item_id"), ["user_id"], ["item_id"])
     return (
         train.withColumn("in_test", F.lit(False))
         .unionByName(test.withColumn("in_test", F.lit(True)))
@@ -106,7 +106,7 @@ def _(t: Tables):
     SPLIT + " SELECT user_id, count(*) FILTER (r % 5 = 0) AS test_rows, count(*) AS all_rows FROM numbered GROUP BY user_id",
 )
 def _(t: Tables):
-    train, test = per_group_split(t.plays.select("user_id", "item_id"), ["user_id"], ["item_id"], remainder=0)
+    train, test = per_group_split(t.saved_plays.select("user_id", "item_id"), ["user_id"], ["item_id"], remainder=0)
     rows = train.withColumn("t", F.lit(0)).unionByName(test.withColumn("t", F.lit(1)))
     return rows.groupBy("user_id").agg(F.sum("t").alias("test_rows"), F.count(F.lit(1)).alias("all_rows"))
 
@@ -120,5 +120,5 @@ def _(t: Tables):
        UNION ALL SELECT item_id, 'test' FROM (SELECT item_id FROM train EXCEPT SELECT item_id FROM test)""",
 )
 def _(t: Tables):
-    train, test = per_group_split(t.plays.select("user_id", "item_id"), ["user_id"], ["item_id"])
+    train, test = per_group_split(t.saved_plays.select("user_id", "item_id"), ["user_id"], ["item_id"])
     return cold_keys(train, test, "item_id")

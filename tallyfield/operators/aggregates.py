@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from itertools import combinations
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -124,11 +123,6 @@ def correlation_pairs(
     return correlations(df, cols).filter(r > min_abs)
 
 
-def element_at_vector(c: Column | str, i: int) -> Column:
-    """Element ``i`` (0-based) of an ML vector column."""
-    return vector_to_array(c)[i]
-
-
 def profile_tables(tables: dict[str, DataFrame]) -> DataFrame:
     """(table, columns, rows) for each table."""
     parts = [

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyfield.functions import ratio
 from tallyfield.operators.running import top_k_per_group
 from tallyfield.operators.scale import prefix_sums
+from tallyfield.session import pin
 
 
 def confusion(df: DataFrame, label: str, pred: str) -> DataFrame:
@@ -46,7 +47,7 @@ def auroc(df: DataFrame, label: str, score: str) -> DataFrame:
         .groupBy(score)
         .agg(F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) == 0).alias("_n"))
     )
-    steps = prefix_sums(steps, [], [score], {"_upto": F.col("_n")})
+    steps = prefix_sums(pin(steps, "scores"), [], [score], {"_upto": F.col("_n")})
     below = F.col("_upto") - F.col("_n") + F.col("_n") / 2
     won = F.sum((F.col("_p") * below).cast("double"))
     return steps.agg(ratio(won, F.sum("_p") * F.sum("_n").cast("double")).alias("auroc"))

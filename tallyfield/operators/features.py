@@ -13,6 +13,7 @@ from pyspark.sql.types import ArrayType
 
 from tallyfield.operators.running import number_rows
 from tallyfield.operators.scale import keyed_join
+from tallyfield.session import pin
 
 
 def assemble(
@@ -48,14 +49,14 @@ def index_map(df: DataFrame, col: str, out: str) -> DataFrame:
     leave the executors.
     """
     counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    numbered = number_rows(counts, [], [F.desc("_n"), F.asc(col)], "_row")
+    numbered = number_rows(pin(counts, "counts"), [], [F.desc("_n"), F.asc(col)], "_row")
     return numbered.select(col, (F.col("_row") - 1).cast("int").alias(out))
 
 
 def index_strings(df: DataFrame, cols: dict[str, str]) -> DataFrame:
     """Add a dense index column per entry of ``cols`` (column to index name)."""
     for col, out in cols.items():
-        df = keyed_join(df, index_map(df, col, out), [col], "inner")
+        df = keyed_join(df, pin(index_map(df, col, out), "index"), [col], "inner")
     return df
 
 

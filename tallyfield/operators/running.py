@@ -8,16 +8,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfield.operators.scale import keyed_join, prefix_sums
+from tallyfield.session import pin
 
 
 def number_rows(
-    df: DataFrame, part: Sequence[str], order: Sequence[Column | str], out: str = "row_num"
+    df: DataFrame,
+    part: Sequence[str],
+    order: Sequence[Column | str],
+    out: str = "row_num",
+    max_group: int | None = None,
 ) -> DataFrame:
-    """1, 2, 3 … within each partition; a partition may span many tasks.
+    """1, 2, 3 … within each partition; a large partition is spread over many tasks.
 
     With an empty ``part`` all rows are numbered in one sequence.
     """
-    return prefix_sums(df, part, order, {out: F.lit(1).cast("bigint")})
+    return prefix_sums(df, part, order, {out: F.lit(1).cast("bigint")}, max_group)
 
 
 def running_sum(
@@ -26,14 +31,15 @@ def running_sum(
     order: Sequence[Column | str],
     cols: dict[str, str],
     bounded: bool = False,
+    max_group: int | None = None,
 ) -> DataFrame:
     """Running sums, ``cols`` maps new name to summed column.
 
     ``bounded`` is for tables already aggregated to a few rows per partition
-    (such as one per year); one window then does the work.
+    (such as one per year), which need no measuring.
     """
     if not bounded:
-        return prefix_sums(df, part, order, {out: F.col(c) for out, c in cols.items()})
+        return prefix_sums(df, part, order, {out: F.col(c) for out, c in cols.items()}, max_group)
     frame = (
         Window.partitionBy(*part)
         .orderBy(*order)
@@ -43,8 +49,8 @@ def running_sum(
 
 
 def histogram(df: DataFrame, col: str, out: str = "n") -> DataFrame:
-    """Rows per value of ``col``."""
-    return df.groupBy(col).agg(F.count(F.lit(1)).alias(out))
+    """Rows per value of ``col``, written once as several steps read it."""
+    return pin(df.groupBy(col).agg(F.count(F.lit(1)).alias(out)), "histogram")
 
 
 def cumulative_share(
@@ -90,12 +96,15 @@ def top_k_per_group(
     """The first ``k`` rows of each group.
 
     ``ties='row_number'`` keeps exactly ``k`` (give a total order): the limit is
-    applied on the map side, so at most ``k`` rows per group and task move.
+    applied on the map side, so at most ``k`` rows per group and task move; a
+    ``k`` too large for that is cut from the sliced numbering.
     ``ties='rank'`` keeps every row tied with the k-th; ranks are worked out on
     the distinct order values, ``k`` at most per group, and joined back.
     """
     part = list(part)
     if ties == "row_number":
+        if k > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+            return number_rows(df, part, order, out).filter(F.col(out) <= k)
         w = Window.partitionBy(*part).orderBy(*order)
         return df.withColumn(out, F.row_number().over(w).cast("bigint")).filter(F.col(out) <= k)
     column, descending = _order_name(order)

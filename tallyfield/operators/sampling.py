@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tallyfield.functions import hash_uniform
 from tallyfield.operators.running import number_rows
 from tallyfield.operators.scale import keyed_join
+from tallyfield.session import pin
 
 
 def keep_fraction(df: DataFrame, p: float, seed: int, key: Sequence[str]) -> DataFrame:
@@ -56,7 +57,7 @@ def stratified_split(
     numbered = number_rows(
         df.withColumn("_draw", hash_uniform(*key, seed=seed)), [cls], ["_draw", *key], "_row"
     )
-    marked = keyed_join(numbered, sizes, [cls], "left")
+    marked = keyed_join(numbered, pin(sizes, "sizes"), [cls], "left")
     chosen = F.col("_row") < F.col("_size") * share
     extra = ["_draw", "_row", "_size"]
     return marked.filter(chosen).drop(*extra), marked.filter(~chosen).drop(*extra)
@@ -118,9 +119,9 @@ def per_group_split(
     numbered = number_rows(df, group, order, "row_num")
     test = F.col("row_num") % every == remainder
     if remainder == 1:
-        sizes = numbered.groupBy(*group).agg(F.max("row_num").alias("_size"))
+        sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
         lone = sizes.filter(F.col("_size") == 1).select(*group, F.lit(True).alias("_lone"))
-        numbered = keyed_join(numbered, lone, group, "left")
+        numbered = keyed_join(numbered, pin(lone, "lone"), group, "left")
         test = test & F.col("_lone").isNull()
         return numbered.filter(~test).drop("_lone"), numbered.filter(test).drop("_lone")
     return numbered.filter(~test), numbered.filter(test)

@@ -13,6 +13,7 @@ from tallyfield.session import pin
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
 HOT_ROWS = 1_000_000
+WINDOW_ROWS = 1_000_000
 NULL_SALTS = 1024
 
 
@@ -105,8 +106,34 @@ def prefix_sums(
     partition_by: Sequence[str],
     order_by: Sequence[Column | str],
     measures: dict[str, Column],
+    max_group: int | None = None,
 ) -> DataFrame:
-    """Running totals per partition (or over all rows) with no task bound to one group.
+    """Running totals per partition, or over all rows when ``partition_by`` is empty.
+
+    The largest group is measured first. Up to ``max_group`` rows (by default
+    ``WINDOW_ROWS``) one window does the work in a single shuffle; beyond that
+    the groups are cut into slices.
+    """
+    limit = WINDOW_ROWS if max_group is None else max_group
+    sizes = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rows"))
+    largest = sizes.agg(F.max("_rows")).first()[0] or 0
+    if largest > limit:
+        return _sliced_sums(df, partition_by, order_by, measures)
+    frame = (
+        Window.partitionBy(*partition_by)
+        .orderBy(*order_by)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return df.select("*", *[F.sum(expr).over(frame).alias(name) for name, expr in measures.items()])
+
+
+def _sliced_sums(
+    df: DataFrame,
+    partition_by: Sequence[str],
+    order_by: Sequence[Column | str],
+    measures: dict[str, Column],
+) -> DataFrame:
+    """Running totals with no task bound to one group.
 
     Rows are range-partitioned by (partition, order), so a large group is cut
     into slices. Each slice is summed on its own and then lifted by the total of

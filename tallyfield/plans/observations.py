@@ -13,6 +13,7 @@ from tallyfield.operators.joins import exclude, lookup, orphans, restrict
 from tallyfield.operators.running import running_sum
 from tallyfield.operators.sets import multiset_difference
 from tallyfield.plans.stations import observed_with_station
+from tallyfield.session import pin
 
 
 def element_coverage(rows: DataFrame, elements: Sequence[str]) -> DataFrame:
@@ -166,11 +167,15 @@ def fully_good(obs: DataFrame) -> DataFrame:
 
 
 def reconcile(obs: DataFrame, stations: DataFrame, key: str = "station_id") -> DataFrame:
-    """(side, method, n): ids on one side only, by anti join, subtract and exceptAll forms."""
-    a, b = obs.select(key).distinct(), stations.select(key).distinct()
+    """(side, method, n): ids on one side only, by anti join, subtract and exceptAll forms.
+
+    The distinct ids are written first, so the methods read ids and not rows.
+    """
+    a = pin(obs.select(key).distinct(), "ids")
+    b = pin(stations.select(key).distinct(), "ids")
     checks = {
-        ("observations_only", "anti_join"): orphans(obs, stations, key, key),
-        ("stations_only", "anti_join"): orphans(stations, obs, key, key),
+        ("observations_only", "anti_join"): orphans(a, b, key, key),
+        ("stations_only", "anti_join"): orphans(b, a, key, key),
         ("observations_only", "subtract"): a.subtract(b),
         ("stations_only", "subtract"): b.subtract(a),
         ("observations_only", "multiset"): multiset_difference(a, b),

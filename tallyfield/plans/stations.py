@@ -12,6 +12,7 @@ from tallyfield.operators.aggregates import active_span
 from tallyfield.operators.geo import HALF_CIRCUMFERENCE_KM, furthest_pair, pairs_within
 from tallyfield.operators.joins import enrich, lookup, membership_count, restrict
 from tallyfield.operators.scale import keyed_join
+from tallyfield.session import pin
 
 
 def element_counts(inventory: DataFrame, core: Sequence[str], id_col: str = "station_id") -> DataFrame:
@@ -112,7 +113,8 @@ def station_totals(stations: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def add_station_totals(codes: DataFrame, stations: DataFrame, by: str) -> DataFrame:
     """The code table with a station count, null where there is no station."""
-    return lookup(codes, station_totals(stations, [by]), "code", by, ["stations"])
+    totals = pin(station_totals(stations, [by]), "totals")
+    return lookup(codes, totals, "code", by, ["stations"])
 
 
 def active_stations(stations: DataFrame, year: int) -> DataFrame:

@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from tallyfield.sources.readers import Paths, read_delimited
 
 SINGLE_FILE_ROWS = 1_000_000
 
@@ -33,6 +36,25 @@ def save(
     writer.save(path)
 
 
+def land(
+    spark: SparkSession,
+    path: Paths,
+    schema: StructType | str,
+    dest: str,
+    sep: str = ",",
+    partition_by: Sequence[str] = (),
+) -> DataFrame:
+    """Rewrite raw delimited files as a Parquet table and return it.
+
+    A gzip file is read by one task whatever its size. The rows are rebalanced
+    before the write, which cuts the share of a large file or a large partition
+    value into files of even size, so every later read is parallel.
+    """
+    rows = read_delimited(spark, path, schema, sep).hint("rebalance", *partition_by)
+    save(rows, dest, "parquet", partition_by=partition_by)
+    return spark.read.parquet(dest)
+
+
 def save_all(tables: dict[str, DataFrame], base: str, fmt: str = "orc") -> dict[str, str]:
     """Write each table below ``base`` under its name; returns name to path."""
     paths = {name: f"{base}/{name}" for name in tables}

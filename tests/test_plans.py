@@ -1,5 +1,8 @@
 """Whole analyses: two ways to the same answer, edge cases and plan shape."""
 
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,11 +110,18 @@ def test_drop_heavy_repeaters_and_trim(spark):
     assert plays.trim_sparse(calm, 2, 2, measure="plays").count() == 4
 
 
-def test_fixed_point_is_stable(t):
-    out = plays.trim_sparse(t.saved_plays, 25, 20, iterate=True)
-    users = out.groupBy("user_id").count().agg(F.min("count")).first()[0]
-    items = out.groupBy("item_id").count().agg(F.min("count")).first()[0]
-    assert out.isEmpty() or (users >= 25 and items >= 20)
+def test_fixed_point_against_brute_force(spark):
+    rng = random.Random(2)
+    kept = {(rng.randrange(30), rng.randrange(25)) for _ in range(260)}
+    df = spark.createDataFrame([(u, i, 1) for u, i in kept], "user_id int, item_id int, play_count bigint")
+    while True:
+        users, items = Counter(u for u, _ in kept), Counter(i for _, i in kept)
+        left = {(u, i) for u, i in kept if users[u] >= 6 and items[i] >= 6}
+        if left == kept:
+            break
+        kept = left
+    out = plays.trim_sparse(df, 6, 6, iterate=True)
+    assert {(r.user_id, r.item_id) for r in out.collect()} == kept and kept
 
 
 def test_clean_plays_keeps_accepted_items(spark):

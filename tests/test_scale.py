@@ -76,6 +76,15 @@ def test_prefix_sums_over_several_slices(spark, many_slices, part):
     assert out.exceptAll(plain).isEmpty() and plain.exceptAll(out).isEmpty()
 
 
+def test_small_groups_take_one_window(spark):
+    df = spark.range(100).withColumn("k", F.col("id") % 3)
+    small = number_rows(df, ["k"], ["id"])
+    large = number_rows(df, ["k"], ["id"], max_group=10)
+    assert "_slice" not in small._jdf.queryExecution().logical().toString()
+    assert "_slice" in large._jdf.queryExecution().logical().toString()
+    assert small.exceptAll(large).isEmpty()
+
+
 def test_prefix_sums_skip_nulls_like_a_window(spark, many_slices):
     rows = [("a", i, None if i % 3 else i) for i in range(60)] + [("b", i, None) for i in range(30)]
     df = spark.createDataFrame(rows, "k string, i int, v bigint").repartition(4)
@@ -141,6 +150,12 @@ def test_top_k_limits_before_the_shuffle(spark):
     assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
 
 
+def test_top_k_beyond_the_limit_threshold(spark, many_slices):
+    df = spark.range(3000).withColumn("k", F.lit("hot"))
+    top = top_k_per_group(df, ["k"], ["id"], 1500)
+    assert top.agg(F.max("rank"), F.max("id")).first()[:] == (1500, 1499)
+
+
 def test_exclude_and_restrict(spark):
     df = skewed(spark)
     bad = spark.createDataFrame([("hot",), ("hot",), (None,)], "k string")
