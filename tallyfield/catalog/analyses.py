@@ -276,29 +276,29 @@ def _(t: Tables):
 
 def _quality(key: str, names: str) -> str:
     return f"""SELECT {names}, count(*) FILTER (quality_flag IS NULL) AS good, count(quality_flag) AS bad, count(*) AS all_rows,
-        round(count(*) FILTER (quality_flag IS NULL) / count(*)::DOUBLE, 4) AS good_share,
-        round(count(quality_flag) / count(*)::DOUBLE, 4) AS bad_share FROM obs GROUP BY {key}"""
+        round(count(*) FILTER (quality_flag IS NULL) / count(*)::DOUBLE, 9) AS good_share,
+        round(count(quality_flag) / count(*)::DOUBLE, 9) AS bad_share FROM obs GROUP BY {key}"""
 
 
 @query("quality_by_station", _quality("station_id", "station_id"))
 def _(t: Tables):
     profile = observations.quality_profile(t.obs, ["station_id"], "quality_flag")
-    return _round(profile, "good_share", "bad_share")
+    return _round(profile, "good_share", "bad_share", places=9)
 
 
 @query("quality_by_year", _quality("1", "CAST(substr(obs_date, 1, 4) AS INTEGER) AS year"))
 def _(t: Tables):
-    return _round(observations.quality_by_year(t.obs), "good_share", "bad_share")
+    return _round(observations.quality_by_year(t.obs), "good_share", "bad_share", places=9)
 
 
 @query(
     "quality_by_country",
     """SELECT c.name, count(*) FILTER (quality_flag IS NULL) AS good, count(*) AS all_rows,
-              round(count(*) FILTER (quality_flag IS NULL) / count(*)::DOUBLE, 4) AS good_share
+              round(count(*) FILTER (quality_flag IS NULL) / count(*)::DOUBLE, 9) AS good_share
        FROM obs o LEFT JOIN station s ON o.station_id = s.station_id LEFT JOIN country c ON s.country_code = c.code GROUP BY c.name""",
 )
 def _(t: Tables):
-    return _round(observations.quality_by_country(t.obs, t.station, t.country), "good_share")
+    return _round(observations.quality_by_country(t.obs, t.station, t.country), "good_share", places=9)
 
 
 @query(
@@ -336,20 +336,20 @@ def _(t: Tables):
     "user_activity",
     """WITH total AS (SELECT count(DISTINCT item_id) AS n FROM plays),
             per AS (SELECT user_id, count(*) AS items, CAST(sum(play_count) AS BIGINT) AS plays FROM plays GROUP BY user_id)
-       SELECT user_id, items, plays, round(items / n::DOUBLE, 4) AS share,
-              round(sum(items) OVER (ORDER BY items DESC) / n::DOUBLE, 4) AS cumulative_share FROM per, total""",
+       SELECT user_id, items, plays, round(items / n::DOUBLE, 9) AS share,
+              round(sum(items) OVER (ORDER BY items DESC) / n::DOUBLE, 9) AS cumulative_share FROM per, total""",
 )
 def _(t: Tables):
-    return _round(plays.user_activity(t.saved_plays), "share", "cumulative_share")
+    return _round(plays.user_activity(t.saved_plays), "share", "cumulative_share", places=9)
 
 
 @query(
     "item_popularity",
     """SELECT item_id, count(*) AS users, CAST(sum(play_count) AS BIGINT) AS plays,
-              round(count(*) / (SELECT count(DISTINCT user_id) FROM plays)::DOUBLE, 4) AS share FROM plays GROUP BY item_id""",
+              round(count(*) / (SELECT count(DISTINCT user_id) FROM plays)::DOUBLE, 9) AS share FROM plays GROUP BY item_id""",
 )
 def _(t: Tables):
-    return _round(plays.item_popularity(t.saved_plays), "share")
+    return _round(plays.item_popularity(t.saved_plays), "share", places=9)
 
 
 @query(
