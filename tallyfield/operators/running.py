@@ -110,11 +110,10 @@ def top_k_per_group(
     column, descending = _order_name(order)
     values = df.groupBy(*part, column).agg(F.count(F.lit(1)).alias("_n"))
     key = F.desc_nulls_last(column) if descending else F.asc_nulls_first(column)
-    w = Window.partitionBy(*part).orderBy(key)
+    w = Window.partitionBy(*part).orderBy("_place")
     before = F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1))
     ranks = (
-        values.withColumn("_place", F.row_number().over(w))
-        .filter(F.col("_place") <= k)
+        top_k_per_group(values, part, [key], k, "_place")
         .withColumn(out, F.coalesce(before, F.lit(0)) + 1)
         .filter(F.col(out) <= k)
         .drop("_place", "_n")

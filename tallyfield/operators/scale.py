@@ -40,15 +40,17 @@ def salted_join(
 
     Keys with more left rows are spread over ``ceil(rows / hot_rows)`` salts and
     the right rows of just those keys are repeated once per salt. The table of
-    hot keys has at most ``left rows / hot_rows`` entries, which bounds its
-    broadcast. ``how`` may be inner, left, left_semi or left_anti.
+    hot keys has at most ``left rows / hot_rows`` entries; should that still be
+    too many to broadcast, the limit is raised. ``how`` may be inner, left,
+    left_semi or left_anti.
     """
     on = list(on)
-    hot = (
-        left.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > hot_rows)
-        .select(*on, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_salts"))
+    sizes = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    large = pin(sizes.filter(F.col("_rows") > hot_rows), "hot")
+    while not fits_broadcast(large.filter(F.col("_rows") > hot_rows)):
+        hot_rows *= 10
+    hot = large.filter(F.col("_rows") > hot_rows).select(
+        *on, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_salts")
     )
     # Row content spreads the rows of one partition, the partition id spreads
     # identical copies over the cluster; both are the same on a retry.

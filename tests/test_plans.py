@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tallyfield import session
 from tallyfield.catalog.analyses import annual_by_country
 from tallyfield.catalog.views import CORE, Tables
 from tallyfield.operators.aggregates import presence, quality_profile
@@ -140,3 +141,19 @@ def test_plans_on_empty_tables(spark, element):
     assert observations.element_coverage(obs, [element]).count() == 0
     assert stations.furthest_stations(st).count() == 0
     assert stations.pair_distances(st).count() == 0
+
+
+def test_shared_folder_comes_from_the_session(spark, monkeypatch):
+    assert session.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
+
+    class Unset:
+        """A session that names no folder."""
+
+        def __init__(self, master):
+            self.conf = type("Conf", (), {"get": staticmethod(lambda *a: None)})
+            self.sparkContext = type("Context", (), {"master": master, "applicationId": "app"})
+
+    assert session.shared_dir(Unset("local[2]")) == session.shared_dir(Unset("local[2]"))
+    with pytest.raises(RuntimeError):
+        session.shared_dir(Unset("spark://host:7077"))

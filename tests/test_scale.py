@@ -58,6 +58,15 @@ def test_keyed_join_takes_the_other_way_beyond_the_limit(spark):
     assert small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty()
 
 
+def test_hot_limit_rises_until_the_hot_table_fits(spark, monkeypatch):
+    left = skewed(spark)
+    right = left.select("k").distinct().withColumn("r", F.lit(1))
+    fits = scale.fits_broadcast
+    monkeypatch.setattr(scale, "fits_broadcast", lambda df, *a: fits(df, 1))
+    joined = scale.salted_join(left, right, ["k"], "inner", hot_rows=5)
+    assert joined.count() == left.join(right, "k").count()
+
+
 def test_fits_broadcast_measures_rows_and_bytes(spark):
     df = spark.range(1000).withColumn("s", F.repeat(F.lit("x"), 1000))
     assert scale.fits_broadcast(df)
