@@ -80,13 +80,13 @@ def test_pairs_skip_header_lines(spark):
 def test_feature_sets(spark, base):
     put(base / "a.csv", "mean,NUMERIC\nspread,real\nid,STRING\n")
     put(base / "a.data.csv", "1.5,2.5,TR1\n3.5,4.5,'TR2'\n")
-    spec = {"jmm": (str(base / "a.csv"), str(base / "a.data.csv"))}
-    df = load_feature_sets(spark, spec, scratch_path(spark, "sets"))["jmm"]
-    assert df.columns == ["jmm_mean", "jmm_spread", "track_id"]
+    spec = {"tone": (str(base / "a.csv"), str(base / "a.data.csv"))}
+    df = load_feature_sets(spark, spec, scratch_path(spark, "sets"))["tone"]
+    assert df.columns == ["tone_mean", "tone_spread", "track_id"]
     assert sorted(r.track_id for r in df.collect()) == ["TR1", "TR2"]
-    packed = parsing.read_feature_set(spark, *spec["jmm"], as_array=True)
+    packed = parsing.read_feature_set(spark, *spec["tone"], as_array=True)
     assert dict(packed.collect())["TR2"] == [3.5, 4.5]
-    assert parsing.columns_with_prefix(df, "jmm_") == ["jmm_mean", "jmm_spread"]
+    assert parsing.columns_with_prefix(df, "tone_") == ["tone_mean", "tone_spread"]
 
 
 def test_csv_lines_equal_csv_read(spark, base):
