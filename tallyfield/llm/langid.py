@@ -134,7 +134,7 @@ class LanguageModel:
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """Bundle all texts of a language into its prototype: sums per partition, then over partitions.
 
-    Only languages x dimensions sums leave a partition. Rows with a null text or language are left out.
+    Each text counts the same, however long, so that no single one can set the tone of a language. Only languages x dimensions sums leave a partition. Rows with a null text or language are left out.
     """
 
     def bundle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -150,10 +150,11 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Lang
                         held.append(text)
                         size += len(text)
                     if held and (text is None or size >= STEP):
-                        _, number, grams, _ = _grams(held)
-                        counts = np.bincount(number, minlength=len(grams)).astype(np.float32)
+                        owner, number, grams, letters = _grams(held)
+                        weight = (1e6 / np.maximum(letters, 1))[owner]
+                        counts = np.bincount(number, weights=weight, minlength=len(grams))
                         for begin in range(0, len(grams), REMEMBERED):
-                            vectors = gram_vectors(grams[begin : begin + REMEMBERED]).astype(np.float32)
+                            vectors = gram_vectors(grams[begin : begin + REMEMBERED]).astype(np.float64)
                             total += counts[begin : begin + REMEMBERED] @ vectors
                         held, size = [], 0
         for name, total in sums.items():

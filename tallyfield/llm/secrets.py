@@ -32,7 +32,7 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.~-]{16,}")
 BEFORE = 48
 AROUND = 512
 #: Marginal compressed bytes per byte from which a string is reported.
-NOVELTY = 0.7
+NOVELTY = 0.9
 #: Names that code is full of; the compressor knows them beforehand.
 IDENTIFIERS = " ".join(
     f"{a}{b}"

@@ -379,7 +379,7 @@ def test_leaks_verbatim_and_re_parameterised(spark, docs, empty):
     swapped = ITEM.replace("Anna", "Maria").replace("5", "7").replace("Tom", "Bob").replace("3", "9")
     table = spark.createDataFrame(
         [(1, "x y. " + ITEM + " z"), (2, "intro words. " + swapped + " end " * 20000), (3, ITEM[:30]), (4, None), (5, ""),
-         (6, "a Tiny, item b"), (None, ITEM), (1, "x y. " + ITEM + " z")],
+         (6, "a tiny, item b"), (None, ITEM), (1, "x y. " + ITEM + " z")],
         "doc_id long, text string",
     ).withColumn("doc", F.lit(3)).withColumn("hash", F.lit(3))
     got = bag(decontaminate.find_leaks(table, items), "id", "item_id", "same_values")
