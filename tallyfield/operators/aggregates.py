@@ -73,11 +73,10 @@ def describe_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     cols = list(cols)
     if len(cols) > WIDE:
         values = df.select(F.posexplode(F.array(*[F.col(c).cast("double") for c in cols])))
-        names = F.array(*[F.lit(c) for c in cols])
-        return (
-            values.groupBy("pos")
-            .agg(*_moments(F.col("col")))
-            .select(names[F.col("pos")].alias("column"), "count", "mean", "stddev", "min", "max")
+        names = df.sparkSession.createDataFrame(list(enumerate(cols)), "pos int, column string")
+        # From the names, so that a table without rows still has a row per column.
+        return names.join(values.groupBy("pos").agg(*_moments(F.col("col"))), "pos", "left").select(
+            "column", F.coalesce("count", F.lit(0)).alias("count"), "mean", "stddev", "min", "max"
         )
     row = df.agg(*[F.struct(*_moments(F.col(c).cast("double"))).alias(c) for c in cols])
     lines = [
@@ -120,7 +119,7 @@ def correlation_pairs(
 ) -> DataFrame:
     """Column pairs whose correlation is above a threshold, in absolute value by default."""
     r = F.abs("r") if absolute else F.col("r")
-    return correlations(df, cols).filter(r > min_abs)
+    return correlations(df, cols).filter(~F.isnan("r") & (r > min_abs))
 
 
 def profile_tables(tables: dict[str, DataFrame]) -> DataFrame:

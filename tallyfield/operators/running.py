@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfield.operators.scale import keyed_join, prefix_sums
+from tallyfield.operators.scale import keyed_join, null_safe_key, prefix_sums
 from tallyfield.session import pin
 
 
@@ -118,7 +118,9 @@ def top_k_per_group(
         .filter(F.col(out) <= k)
         .drop("_place", "_n")
     )
-    return keyed_join(df, ranks, [*part, column], "inner")
+    same = null_safe_key(df, [*part, column])
+    found = keyed_join(df.withColumn("_key", same), ranks.select(same.alias("_key"), out), ["_key"], "inner")
+    return found.select(*df.columns, out)
 
 
 def _order_name(order: Sequence[Column | str | tuple[str, bool]]) -> tuple[str, bool]:
@@ -135,9 +137,8 @@ def top_n(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
 
 def arg_max(df: DataFrame, by: str, part: Sequence[str] = (), tie_break: Sequence[str] = ()) -> DataFrame:
     """The row with the largest ``by``, overall or per group; ties go to the smallest ``tie_break``."""
-    rest = [c for c in df.columns if c not in tie_break]
-    packed = F.struct((-F.col(by)).alias("_key"), *tie_break, *rest)
     rows = df.filter(F.col(by).isNotNull())
-    grouped = rows.groupBy(*part) if part else rows
-    best = grouped.agg(F.min(packed).alias("_best")).filter(F.col("_best").isNotNull())
-    return best.select("_best.*").select(*df.columns)
+    order = [F.desc(by), *tie_break]
+    if not part:
+        return rows.orderBy(*order).limit(1)
+    return top_k_per_group(rows, part, order, 1, "_place").select(*df.columns)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyfield.functions import hash_uniform
 from tallyfield.operators.running import number_rows
-from tallyfield.operators.scale import keyed_join
+from tallyfield.operators.scale import keyed_join, null_safe_key
 from tallyfield.session import pin
 
 
@@ -53,13 +53,15 @@ def stratified_split(
     if not exact:
         draw = hash_uniform(cls, *key, seed=seed)
         return df.filter(draw < share), df.filter(draw >= share)
-    sizes = df.groupBy(cls).agg(F.count(F.lit(1)).alias("_size"))
+    # A null class is a class like any other.
+    same = null_safe_key(df, [cls])
+    sizes = df.groupBy(same.alias("_key")).agg(F.count(F.lit(1)).alias("_size"))
     numbered = number_rows(
         df.withColumn("_draw", hash_uniform(*key, seed=seed)), [cls], ["_draw", *key], "_row"
-    )
-    marked = keyed_join(numbered, pin(sizes, "sizes"), [cls], "left")
-    chosen = F.col("_row") < F.col("_size") * share
-    extra = ["_draw", "_row", "_size"]
+    ).withColumn("_key", same)
+    marked = keyed_join(numbered, pin(sizes, "sizes"), ["_key"], "left")
+    chosen = F.coalesce(F.col("_row") < F.col("_size") * share, F.lit(False))
+    extra = ["_draw", "_row", "_size", "_key"]
     return marked.filter(chosen).drop(*extra), marked.filter(~chosen).drop(*extra)
 
 
@@ -76,7 +78,7 @@ def downsample(
     df: DataFrame, cls: str, majority, ratio: float, key: Sequence[str], seed: int
 ) -> DataFrame:
     """Keep majority rows with probability ``min(1, ratio x others / majority)``."""
-    is_major = F.col(cls) == F.lit(majority)
+    is_major = F.col(cls).eqNullSafe(F.lit(majority))
     sizes = df.agg(
         F.least(
             F.lit(1.0), F.try_divide(F.lit(float(ratio)) * F.count_if(~is_major), F.count_if(is_major))
@@ -89,7 +91,7 @@ def upsample(
     df: DataFrame, cls: str, minority, n: int, p: float, key: Sequence[str], seed: int
 ) -> DataFrame:
     """Repeat minority rows: ``n`` draws per row, one copy for each draw above ``p``."""
-    is_minor = F.col(cls) == F.lit(minority)
+    is_minor = F.col(cls).eqNullSafe(F.lit(minority))
     tries = F.when(is_minor, F.sequence(F.lit(1), F.lit(n))).otherwise(F.array(F.lit(0)))
     copies = df.withColumn("_try", F.explode(tries))
     kept = ~is_minor | (hash_uniform(*key, "_try", seed=seed) > p)
@@ -119,11 +121,13 @@ def per_group_split(
     numbered = number_rows(df, group, order, "row_num")
     test = F.col("row_num") % every == remainder
     if remainder == 1:
-        sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
-        lone = sizes.filter(F.col("_size") == 1).select(*group, F.lit(True).alias("_lone"))
-        numbered = keyed_join(numbered, pin(lone, "lone"), group, "left")
+        same = null_safe_key(df, group)
+        sizes = df.groupBy(same.alias("_key")).agg(F.count(F.lit(1)).alias("_size"))
+        lone = sizes.filter(F.col("_size") == 1).select("_key", F.lit(True).alias("_lone"))
+        numbered = keyed_join(numbered.withColumn("_key", same), pin(lone, "lone"), ["_key"], "left")
         test = test & F.col("_lone").isNull()
-        return numbered.filter(~test).drop("_lone"), numbered.filter(test).drop("_lone")
+        extra = ["_lone", "_key"]
+        return numbered.filter(~test).drop(*extra), numbered.filter(test).drop(*extra)
     return numbered.filter(~test), numbered.filter(test)
 
 

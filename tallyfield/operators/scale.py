@@ -25,6 +25,11 @@ def fits_broadcast(
     for field in df.schema.fields:
         if isinstance(field.dataType, T.StringType):
             width = width + F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)) + 16
+        elif isinstance(field.dataType, T.BinaryType):
+            width = width + F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)) + 16
+        elif isinstance(field.dataType, T.UserDefinedType):
+            # A vector: its text form is at least as long as half its bytes.
+            width = width + 2 * F.octet_length(F.col(field.name).cast("string")) + 16
         elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
             width = width + F.octet_length(F.to_json(F.struct(field.name))) + 16
         else:
@@ -33,6 +38,13 @@ def fits_broadcast(
     return rows <= max_rows and (size or 0) <= max_bytes
 
 
+def null_safe_key(df: DataFrame, cols: Sequence[str]) -> Column:
+    """One never-null key for columns that may hold nulls; 0.0 and -0.0 are equal."""
+    floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    values = [(F.col(c) + 0.0 if c in floating else F.col(c)).alias(f"k{i}") for i, c in enumerate(cols)]
+    return F.to_json(F.struct(*values))
+
+
 def salted_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
@@ -96,7 +108,12 @@ def keyed_join(
     max_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Broadcast ``right`` when it is measured to be small, salt the join otherwise."""
+    """Broadcast ``right`` when it is measured to be small, salt the join otherwise.
+
+    Joins that keep unmatched right rows are refused: salting would repeat those rows.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"join type {how!r} is not supported")
     if fits_broadcast(right, max_rows):
         joined = left.join(F.broadcast(right), list(on), how)
         return joined.select(*_result_columns(left, right, on, how))

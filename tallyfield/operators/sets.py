@@ -45,8 +45,7 @@ def multiset_difference(
 
 
 def count_distinct(df: DataFrame, cols: Sequence[str], rsd: float | None = None) -> DataFrame:
-    """Number of distinct values (or tuples); approximate when ``rsd`` is given."""
+    """Number of distinct rows over ``cols``, nulls counted as values; approximate when ``rsd`` is given."""
     if rsd is not None:
-        key: Column = F.col(cols[0]) if len(cols) == 1 else F.xxhash64(*cols)
-        return df.agg(F.approx_count_distinct(key, rsd).alias("n"))
-    return df.agg(F.count_distinct(*[F.col(c) for c in cols]).alias("n"))
+        return df.agg(F.approx_count_distinct(F.xxhash64(F.to_json(F.struct(*cols))), rsd).alias("n"))
+    return df.agg(F.count_distinct(F.struct(*cols)).alias("n"))

@@ -116,7 +116,9 @@ def cumulative_summary(annual: DataFrame) -> DataFrame:
 def drill_down(obs: DataFrame, stations: DataFrame, country, year: int) -> DataFrame:
     """The rows behind one (country, year) average."""
     ids = stations.filter(F.col("country_code") == F.lit(country)).select("station_id")
-    return restrict(obs.filter(year_of("obs_date") == year), ids, "station_id")
+    # Dates start with their year: a range of text reaches the scan, a substring would not.
+    dates = (F.col("obs_date") >= f"{year:04d}") & (F.col("obs_date") < f"{year + 1:04d}")
+    return restrict(obs.filter(dates), ids, "station_id")
 
 
 def missing_countries(

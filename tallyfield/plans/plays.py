@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -67,15 +69,18 @@ def trim_sparse(
     min_users: int,
     iterate: bool = False,
     measure: str = "users",
-    max_rounds: int = 100,
+    max_rounds: int | None = None,
 ) -> DataFrame:
     """Drop users with few items and items with few users.
 
     Both tests use the counts before the step. ``iterate`` repeats the step
-    until nothing more is dropped. ``measure='plays'`` tests an item's plays.
+    until nothing more is dropped, or raises after ``max_rounds`` when that is given.
+    ``measure='plays'`` tests an item's plays.
     """
     rows = plays.count() if iterate else None
-    for _ in range(max_rounds if iterate else 1):
+    for done in itertools.count():
+        if max_rounds is not None and done >= max_rounds:
+            raise RuntimeError(f"trimming did not settle in {max_rounds} rounds")
         quiet = (
             plays.groupBy("user_id").agg(F.count("item_id").alias("n")).filter(F.col("n") < min_items)
         )
@@ -89,7 +94,6 @@ def trim_sparse(
         if left == rows:
             return plays
         rows = left
-    raise RuntimeError(f"trimming did not settle in {max_rounds} rounds")
 
 
 def leftovers(plays: DataFrame, min_items: int) -> DataFrame:

@@ -95,7 +95,10 @@ def read_feature_set(
     ``as_array`` packs the numbers into one ``features`` array, the form to use
     for sets of a thousand columns and more.
     """
-    text = spark.read.text(attribute_path, wholetext=True).first()[0]
+    files = spark.read.text(attribute_path, wholetext=True).limit(2).collect()
+    if len(files) != 1:
+        raise ValueError(f"{attribute_path} must name exactly one attribute file")
+    text = files[0][0]
     rows = [tuple(p.strip() for p in line.split(",")) for line in text.splitlines() if line.strip()]
     if len(rows) > MAX_ATTRIBUTES:
         raise ValueError(f"{len(rows)} attributes in {attribute_path}")

@@ -24,9 +24,12 @@ def save(
     """Write as ORC, Parquet or CSV (with header).
 
     ``single_file`` is for aggregated results: the rows are counted first and a
-    table beyond ``SINGLE_FILE_ROWS`` keeps its many files.
+    table beyond ``SINGLE_FILE_ROWS`` is refused.
     """
-    if single_file and df.count() <= SINGLE_FILE_ROWS:
+    if single_file:
+        rows = df.count()
+        if rows > SINGLE_FILE_ROWS:
+            raise ValueError(f"{rows} rows are too many for a single file")
         df = df.repartition(1)
     writer = df.write.format(fmt).mode(mode)
     if fmt == "csv":
@@ -50,9 +53,10 @@ def land(
     before the write, which cuts the share of a large file or a large partition
     value into files of even size, so every later read is parallel.
     """
-    rows = read_delimited(spark, path, schema, sep).hint("rebalance", *partition_by)
-    save(rows, dest, "parquet", partition_by=partition_by)
-    return spark.read.parquet(dest)
+    rows = read_delimited(spark, path, schema, sep)
+    save(rows.hint("rebalance", *partition_by), dest, "parquet", partition_by=partition_by)
+    # With the declared types: a partition value such as 00701 stays text.
+    return spark.read.schema(rows.schema).parquet(dest).select(*rows.columns)
 
 
 def save_all(tables: dict[str, DataFrame], base: str, fmt: str = "orc") -> dict[str, str]:
