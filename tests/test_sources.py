@@ -109,8 +109,9 @@ def test_single_file_only_when_small(spark, base, monkeypatch):
     writers.save(df, str(base / "one"), "parquet", single_file=True)
     assert len(list((base / "one").glob("*.parquet"))) == 1
     monkeypatch.setattr(writers, "SINGLE_FILE_ROWS", 10)
-    writers.save(df, str(base / "many"), "parquet", single_file=True)
-    assert len(list((base / "many").glob("*.parquet"))) > 1
+    with pytest.raises(ValueError):
+        writers.save(df, str(base / "many"), "parquet", single_file=True)
+    assert not (base / "many").exists()
     listed = writers.file_inventory(spark, str(base / "one"))
     assert listed.filter(F.col("path").endswith(".parquet")).count() == 1
     assert "content" not in listed.columns
