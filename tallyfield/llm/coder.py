@@ -12,7 +12,7 @@ import zlib
 import numpy as np
 
 MAGIC = b"TFID"
-VERSION = 1
+VERSION = 2
 HEADER = struct.Struct("<4sBxHIIII")
 #: Slots of the prediction tables, and ids after which the order-0 counts are rebuilt.
 ONE_BITS, TWO_BITS = 11, 12
@@ -21,7 +21,6 @@ TOTAL_BITS = 20
 PROB_BITS = 16
 LEARN = 5
 FLOOR, SPAN = 63, 65536 - 63
-STRIDE = 64
 #: The interval is at most 2**56 wide and is widened by 16 bits while it is below 2**40.
 SHIFT, DIGIT = 40, 16
 TOP, START = 1 << SHIFT, 1 << 55
@@ -29,55 +28,22 @@ LOW_MASK = TOP - 1
 
 
 class _Model:
-    """Predictions of a row of blocks: an order-1 and an order-2 guess, mixing weights, order-0 counts.
+    """Predictions of a row of blocks: an order-1 and an order-2 guess and mixing weights.
 
     The guesses are ids with a trust of 0 to 3 in the two lowest bits. By both trusts, adaptive chances
     tell how often the order-2 guess, or else the order-1 guess, is right; the rest of the interval
     belongs to the order-0 counts.
     """
 
-    def __init__(self, blocks: int, vocabulary: int):
-        self.vocabulary = vocabulary
+    def __init__(self, blocks: int):
         self.one = np.zeros(blocks << ONE_BITS, np.int32)
         self.two = np.zeros(blocks << TWO_BITS, np.int32)
         self.hit_two = np.full(blocks << 4, 1 << 14, np.int64)
         self.hit_one = np.full(blocks << 4, 1 << 14, np.int64)
         row = np.arange(blocks, dtype=np.int64)
         self.row_one, self.row_two, self.row_mix = row << ONE_BITS, row << TWO_BITS, row << 4
-        self.row_width, self.row_total = row * (vocabulary + 1), row << TOTAL_BITS
         self.last = np.zeros(blocks, np.int64)
         self.mixed = np.zeros(blocks, np.int64)
-        base = (np.arange(vocabulary + 1, dtype=np.float64) * ((1 << TOTAL_BITS) / vocabulary)).astype(np.int64)
-        # Upper bounds of all blocks in one ascending table: block k starts at k * 2**TOTAL_BITS.
-        self.bounds = np.empty((blocks, vocabulary + 1), np.uint32)
-        for k in range(blocks):
-            self.bounds[k] = base + (k << TOTAL_BITS)
-        self.flat = self.bounds.reshape(-1)
-        self.coarse: np.ndarray | None = None
-
-    def find(self, blocks: np.ndarray, value: np.ndarray) -> np.ndarray:
-        """Places in ``flat`` of the last bound not above ``value``: a small table first, then within a stride."""
-        if self.coarse is None:
-            self.coarse = np.ascontiguousarray(self.bounds[:, ::STRIDE]).reshape(-1)
-        per_row = -(-(self.vocabulary + 1) // STRIDE)
-        near = np.searchsorted(self.coarse, value, side="right") - 1
-        at = self.row_width.take(blocks) + (near - blocks * per_row) * STRIDE
-        last = self.row_width.take(blocks) + self.vocabulary
-        step = STRIDE // 2
-        while step:
-            ahead = np.minimum(at + step, last)
-            at = np.where(self.flat.take(ahead) <= value, ahead, at)
-            step //= 2
-        return at
-
-    def rebuild(self, ids: np.ndarray, upto: int) -> None:
-        """Order-0 bounds from the first ``upto`` ids of each block."""
-        spare = (1 << TOTAL_BITS) - self.vocabulary
-        for k in range(len(ids)):
-            share = np.bincount(ids[k, :upto], minlength=self.vocabulary) * (spare // upto)
-            share += 1
-            self.bounds[k, 1:] = np.cumsum(share) + (k << TOTAL_BITS)
-        self.coarse = None
 
     def guess(self, k: int) -> tuple:
         """Slots, guesses and the two interval widths for the first ``k`` blocks."""
@@ -113,6 +79,80 @@ class _Model:
         self.last[:k] = ids
 
 
+def _step(vocabulary: int, upto: int) -> int:
+    """Room that each of the first ``upto`` ids adds to its value; without any, the room of every value."""
+    total = 1 << TOTAL_BITS
+    return (total - vocabulary) // upto if upto else total // vocabulary
+
+
+def _order_zero(ids: np.ndarray, vocabulary: int, rebuilds: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Start and width of every id of a block by the order-0 counts that hold at its place.
+
+    A value takes room 1, and ``_step`` more for each time it occurs before the last rebuild.
+    """
+    start, width = np.empty(len(ids), np.uint32), np.empty(len(ids), np.uint32)
+    for begin, end in zip([0, *rebuilds], [*rebuilds, len(ids)]):
+        if begin >= len(ids):
+            break
+        now, step = ids[begin:end], _step(vocabulary, begin)
+        if not begin:
+            start[:end], width[:end] = now * step, step
+            continue
+        counts = np.bincount(ids[:begin], minlength=vocabulary)
+        upto, own = np.cumsum(counts).take(now), counts.take(now)
+        start[begin:end] = now + step * (upto - own)
+        width[begin:end] = 1 + step * own
+    return start, width
+
+
+class _Counts:
+    """Order-0 counts of a row of blocks while they are decoded: the ids so far in order.
+
+    Occurrence i of a block's sorted ids has its room at id + step * i, so the rooms lie at least a step
+    apart and a bucket no wider than a step holds the start of one at most: the bucket's number of
+    earlier starts and one comparison find the place of a value.
+    """
+
+    def __init__(self, vocabulary: int):
+        self.upto, self.step = 0, _step(vocabulary, 0)
+
+    def rebuild(self, ids: np.ndarray, vocabulary: int) -> None:
+        rows, upto = ids.shape
+        self.upto, self.step = upto, _step(vocabulary, upto)
+        self.bits = self.step.bit_length() - 1
+        self.buckets = 1 << (TOTAL_BITS - self.bits)
+        held, place = np.sort(ids, axis=1), np.arange(upto, dtype=np.int32)
+        keys = np.full((rows, upto + 1), 1 << 30, np.int32)
+        np.add(held, place * np.int32(self.step), out=keys[:, :upto])
+        earlier = np.zeros((rows, self.buckets + 1), np.int32)
+        earlier[np.arange(rows)[:, None], (keys[:, :upto] >> self.bits) + 1] = 1
+        self.earlier = np.cumsum(earlier, axis=1, dtype=np.int32)[:, :-1].reshape(-1)
+        differs = held[:, 1:] != held[:, :-1]
+        first, end = np.zeros((rows, upto), np.int32), np.full((rows, upto), upto, np.int32)
+        np.maximum.accumulate(np.where(differs, place[1:], 0), axis=1, out=first[:, 1:])
+        end[:, :-1] = np.minimum.accumulate(np.where(differs, place[1:], upto)[:, ::-1], axis=1)[:, ::-1]
+        start, width = np.zeros((rows, upto + 1), np.int32), np.zeros((rows, upto + 1), np.int32)
+        start[:, :upto], width[:, :upto] = held + self.step * first, 1 + self.step * (end - first)
+        self.keys, self.start, self.width = keys.reshape(-1), start.reshape(-1), width.reshape(-1)
+
+    def find(self, blocks: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(id, start, width) of the ids in whose room the values lie."""
+        if not self.upto:
+            ids = value // self.step
+            return ids, ids * self.step, np.full(len(ids), self.step, np.int64)
+        before = self.earlier.take(blocks * self.buckets + (value >> self.bits))
+        at = blocks * (self.upto + 1) + before
+        passed = self.keys.take(at) <= value
+        before += passed
+        at += passed
+        at -= 1
+        key = self.keys.take(at, mode="wrap")
+        counted = (before > 0) & (value <= key + self.step)
+        ids = np.where(counted, key + self.step, value) - self.step * before
+        start = np.where(counted, self.start.take(at, mode="wrap"), value)
+        return ids, start, np.where(counted, self.width.take(at, mode="wrap"), 1)
+
+
 def _descending(lengths: np.ndarray) -> np.ndarray:
     """How many of the blocks, longest first, still have an id at each step."""
     return np.searchsorted(-lengths, -np.arange(int(lengths[0])), side="left")
@@ -122,6 +162,8 @@ def encode_blocks(ids: list[np.ndarray], vocabulary: int = 1 << 16) -> list[byte
     """One self-contained, checksummed byte string per block of ids."""
     if not ids:
         return []
+    if vocabulary + REBUILD[-1] > 1 << TOTAL_BITS:
+        raise ValueError("the vocabulary is too large")
     order = sorted(range(len(ids)), key=lambda i: -len(ids[i]))
     lengths = np.array([len(ids[i]) for i in order])
     n, longest = len(ids), int(lengths[0])
@@ -130,16 +172,20 @@ def encode_blocks(ids: list[np.ndarray], vocabulary: int = 1 << 16) -> list[byte
         if len(ids[i]) and not 0 <= int(np.min(ids[i])) <= int(np.max(ids[i])) < vocabulary:
             raise ValueError("an id lies outside the vocabulary")
         table[k, : lengths[k]] = ids[i]
-    model = _Model(n, vocabulary)
+    model = _Model(n)
     columns = np.ascontiguousarray(table.T)
+    starts, widths = np.empty((n, longest), np.uint32), np.empty((n, longest), np.uint32)
+    for k in range(n):
+        size = lengths[k]
+        starts[k, :size], widths[k, :size] = _order_zero(table[k, :size], vocabulary, list(REBUILD))
+    del table
+    starts, widths = np.ascontiguousarray(starts.T), np.ascontiguousarray(widths.T)
     low, size = np.zeros(n, np.int64), np.full(n, START, np.int64)
     room = 3 * longest + 8
     digits = np.zeros(n * room, np.int32)
     place = np.arange(n, dtype=np.int64) * room
     begin = place.copy()
     for t, k in enumerate(_descending(lengths)):
-        if t in REBUILD:
-            model.rebuild(table[:k], t)
         now = columns[t, :k]
         state = model.guess(k)
         held_one, held_two, first, second = state[3], state[4], state[7], state[8]
@@ -157,13 +203,9 @@ def encode_blocks(ids: list[np.ndarray], vocabulary: int = 1 << 16) -> list[byte
         lows += unit * start
         np.multiply(unit, width, out=sizes)
         if len(miss):
-            at = model.row_width.take(miss) + now.take(miss)
-            start = model.flat.take(at).astype(np.int64)
-            width = model.flat.take(at + 1) - start
-            start -= model.row_total.take(miss)
             unit = sizes.take(miss) >> TOTAL_BITS
-            lows[miss] += unit * start
-            sizes[miss] = unit * width
+            lows[miss] += unit * starts[t].take(miss)
+            sizes[miss] = unit * widths[t].take(miss)
         small = np.flatnonzero(sizes < TOP)
         while len(small):
             value = lows.take(small)
@@ -178,7 +220,7 @@ def encode_blocks(ids: list[np.ndarray], vocabulary: int = 1 << 16) -> list[byte
         digits[place] = low >> SHIFT
         place += 1
         low = (low & LOW_MASK) << DIGIT
-    rows = digits.reshape(n, room)
+    rows = digits.reshape(n, room)[:, : int((place - begin).max())]
     while True:  # a digit of 2**16 or more carries into the one before it
         carry = rows >> 16
         if not carry.any():
@@ -216,8 +258,8 @@ def decode_blocks(blocks: list[bytes]) -> list[np.ndarray]:
     for k, body in enumerate(bodies):
         rows[k, : len(body)] = body
     digits = rows.reshape(-1)
-    model = _Model(n, vocabulary)
-    table = np.zeros((n, int(lengths[0])), np.int32)
+    model, counts = _Model(n), _Counts(vocabulary)
+    columns = np.zeros((int(lengths[0]), n), np.int32)
     size = np.full(n, START, np.int64)
     ahead = (rows[:, 0] << SHIFT) | (rows[:, 1] << 24) | (rows[:, 2] << 8)
     # 56 bits are looked at: three digits and half of the fourth, so digits are read in two halves.
@@ -225,7 +267,7 @@ def decode_blocks(blocks: list[bytes]) -> list[np.ndarray]:
     place = np.arange(n, dtype=np.int64) * room + 3
     for t, k in enumerate(_descending(lengths)):
         if t in REBUILD:
-            model.rebuild(table[:k], t)
+            counts.rebuild(np.ascontiguousarray(columns[:t, :k].T), vocabulary)
         state = model.guess(k)
         held_one, held_two, first, second = state[3], state[4], state[7], state[8]
         heads_on, sizes = ahead[:k], size[:k]
@@ -247,13 +289,10 @@ def decode_blocks(blocks: list[bytes]) -> list[np.ndarray]:
         if len(miss):
             unit = sizes.take(miss) >> TOTAL_BITS
             rest = heads_on.take(miss)
-            total = model.row_total.take(miss)
-            at = model.find(miss, (rest // unit + total).astype(np.uint32))
-            start = model.flat.take(at).astype(np.int64)
-            width = model.flat.take(at + 1) - start
-            heads_on[miss] = rest - unit * (start - total)
+            found, start, width = counts.find(miss, rest // unit)
+            heads_on[miss] = rest - unit * start
             sizes[miss] = unit * width
-            now[miss] = at - model.row_width.take(miss)
+            now[miss] = found
         small = np.flatnonzero(sizes < TOP)
         while len(small):
             at = place.take(small)
@@ -263,11 +302,11 @@ def decode_blocks(blocks: list[bytes]) -> list[np.ndarray]:
             wide = sizes.take(small) << DIGIT
             sizes[small] = wide
             small = small[wide < TOP]
-        table[:k, t] = now
+        columns[t, :k] = now
         model.learn(k, now, state, right_two, right_one)
     out: list[np.ndarray] = [np.zeros(0, np.uint32)] * n
     for k, i in enumerate(order):
-        found = table[k, : lengths[k]].astype("<u4")
+        found = columns[: lengths[k], k].astype("<u4")
         if zlib.crc32(found.tobytes()) != heads[i][2]:
             raise ValueError("decoded ids fail their checksum")
         out[i] = found

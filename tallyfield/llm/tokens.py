@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +14,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from tallyfield.llm.coder import decode_blocks, encode_blocks
 from tallyfield.llm.common import require
@@ -19,7 +23,7 @@ from tallyfield.session import pin, scratch_path
 
 #: Ids per block, blocks coded side by side, and words remembered per worker.
 BLOCK_IDS = 8192
-SIDE_BY_SIDE = 512
+SIDE_BY_SIDE = 1024
 REMEMBERED = 1 << 19
 END_ID = 1
 
@@ -27,52 +31,93 @@ BLOCK = (
     "part int, block int, first_row long, offset long, n int, continues boolean, "
     "nulls int, doc_ids array<long>, doc_sizes array<int>, ends boolean, body binary"
 )
-_tokenizers: dict[str, tuple] = {}
+_encoders: dict[str, "Words"] = {}
 
+#: A word that is Latin letters and then ASCII punctuation without an apostrophe.
+PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)")
 
-def _encoder(text: str):
-    """(tokenizer, words seen so far) of this worker for a tokenizer given as JSON text."""
-    key = hashlib.sha256(text.encode()).hexdigest()
-    if key not in _tokenizers:
-        from tokenizers import Tokenizer
 
-        _tokenizers[key] = Tokenizer.from_str(text), {}
-    return _tokenizers[key]
+class Words(dict):
+    """Words of a tokenizer that neither keeps white space nor joins it to a word, encoded once and remembered.
 
+    Maps a word to its place in ``offsets``, which tells where its ids lie in ``ids``.
+    """
 
-def encode_text(text: str, tokenizer, seen: dict[str, np.ndarray], by_words: bool) -> np.ndarray:
-    """The ids of a text without special tokens.
+    def __init__(self, tokenizer):
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.runs: dict[str, array] = {}
+        self.forget()
+        mapped = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        letters = [chr(c) for c in range(33, 256) if PLAIN.match(chr(c))]
+        self.bytes_of = {ord(c): mapped(c)[0][0] for c in letters}
+        probe = ["ab", "a'b", "it's", "x,y.", "Z9", "\u00e9!", "Stra\u00dfe,", "The***", "\u00c9t\u00e9.", "n_a", "<|a|>"]
+        self.letters_apart = True
+        self.letters_apart = all(list(self.ids_of(x)) == self.whole(x) for x in probe)
+        text = "  " + " \n\t".join(probe) + " "
+        self.splits_at_blanks = self.whole(text) == [i for x in probe for i in self.whole(x)]
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.runs.clear()
+        self.ids, self.offsets = array("I"), array("q", [0])
+
+    def whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def ids_of(self, word: str) -> array:
+        """Ids of a word; letters and the punctuation behind them are looked up apart where that is the same."""
+        plain = PLAIN.fullmatch(word) if self.letters_apart else None
+        if plain is None:
+            return array("I", self.whole(word))
+        letters, rest = plain[1].lower(), plain[2]
+        found = self.runs.get(letters)
+        if found is None:
+            found = array("I", [x.id for x in self.model.tokenize(letters.translate(self.bytes_of))])
+            self.runs[letters] = found
+        if rest:
+            if rest not in self.runs:
+                self.runs[rest] = array("I", self.whole(rest))
+            found = found + self.runs[rest]
+        return found
+
+    def __missing__(self, word: str) -> int:
+        self.ids.extend(self.ids_of(word))
+        self.offsets.append(len(self.ids))
+        self[word] = place = len(self.offsets) - 2
+        return place
+
+    def encode(self, text: str) -> np.ndarray:
+        """The ids of a text."""
+        pieces = text.split()
+        if not pieces:
+            return np.zeros(0, np.uint32)
+        if len(self) > REMEMBERED:
+            self.forget()
+        place = np.fromiter(map(self.__getitem__, pieces), np.int64, len(pieces))
+        offsets = np.frombuffer(self.offsets, np.int64)
+        begin = offsets.take(place)
+        ends = np.cumsum(offsets.take(place + 1) - begin)
+        begin[1:] -= ends[:-1]
+        at = np.repeat(begin, np.diff(ends, prepend=0))
+        at += np.arange(len(at))
+        return np.frombuffer(self.ids, np.uint32).take(at)
+
+
+def _encoder(text: str) -> Words:
+    """This worker's encoder for a tokenizer given as JSON text."""
+    key = hashlib.sha256(text.encode()).hexdigest()
+    if key not in _encoders:
+        _encoders[key] = Words(Tokenizer.from_str(text))
+    return _encoders[key]
 
-    ``by_words``: no token of this tokenizer spans white space, so words are encoded once and remembered.
-    """
-    if not by_words:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-    pieces = text.split()
-    missing = [x for x in set(pieces) if x not in seen]
-    if missing:
-        if len(seen) + len(missing) > REMEMBERED:
-            seen.clear()
-            missing = list(set(pieces))
-        # A plain word with stops behind it is that word's ids and the stops' ids.
-        cores = {x: x.rstrip(".,") for x in missing}
-        wanted = {y for x, c in cores.items() for y in ((c, x[len(c) :]) if c.isascii() and c.isalpha() else (x,)) if y}
-        wanted = [x for x in wanted if x not in seen]
-        for x, e in zip(wanted, tokenizer.encode_batch(wanted, add_special_tokens=False)):
-            seen[x] = np.array(e.ids, np.uint32)
-        for x in missing:
-            if x not in seen:
-                core = cores[x]
-                seen[x] = np.concatenate([seen[core], seen[x[len(core) :]]])
-    if not pieces:
-        return np.zeros(0, np.uint32)
-    return np.concatenate([seen[x] for x in pieces])
-
-
-def splits_at_blanks(tokenizer) -> bool:
-    """Whether texts can be encoded word by word: white space is neither kept nor joined to a word."""
-    probe = ["ab", "a'b", "it's", "x,y.", "Z9", "é!", "<|a|>"]
-    whole = tokenizer.encode("  " + " \n\t".join(probe) + " ", add_special_tokens=False).ids
-    return whole == [i for x in probe for i in tokenizer.encode(x, add_special_tokens=False).ids]
+
+def encode_text(text: str, words: Words) -> np.ndarray:
+    """The ids of a text without special tokens."""
+    # The four separators are blanks to ``split`` and symbols to a tokenizer.
+    if words.splits_at_blanks and not any(c in text for c in "\x1c\x1d\x1e\x1f"):
+        return words.encode(text)
+    return np.array(words.whole(text), np.uint32)
 
 
 def write_token_file(
@@ -102,8 +147,8 @@ def write_token_file(
     placed = placed.select(F.col("id").cast("string").alias("id"), "text")
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer, seen = _encoder(shared.value)
-        by_words, size = splits_at_blanks(tokenizer), max(tokenizer.get_vocab_size(), end_id + 1)
+        words = _encoder(shared.value)
+        size = max(words.tokenizer.get_vocab_size(), end_id + 1)
         part = TaskContext.get().partitionId()
         held: list[np.ndarray] = []
         sizes: list[int] = []
@@ -139,7 +184,7 @@ def write_token_file(
 
         for batch in batches:
             for doc_id, text in zip(batch["id"], batch["text"]):
-                found = np.append(encode_text(text, tokenizer, seen, by_words), np.uint32(end_id))
+                found = np.append(encode_text(text, words), np.uint32(end_id))
                 held.append(found)
                 sizes.append(len(found))
                 ids.append(None if doc_id is None else int(doc_id))

@@ -197,6 +197,29 @@ def test_coder_learns_and_finds_damage():
         coder.encode_blocks([np.array([50000])], 50000)
 
 
+def test_remembered_words_equal_the_tokenizer(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 40)
+    with open(tokenizer_path(), encoding="utf-8") as file:
+        words = tokens.Words(tokens.Tokenizer.from_str(file.read()))
+    assert words.splits_at_blanks and words.letters_apart
+    rng = np.random.default_rng(11)
+    letters = [chr(c) for c in range(33, 256)] + list("e\u0301\u03a3\u0130\u4e2d\u200b\ufb01\u1e9e\u0663")
+    for _ in range(300):
+        text = "".join(rng.choice(letters + [" ", " ", "\n", "\u00a0", "\u2003"] * 12, 60))
+        text += rng.choice(["", "\x1c", "a\x1f b", " <|endoftext|>", "x<|startoftext|>y", " It's THE!! nd.,"])
+        assert tokens.encode_text(text, words).tolist() == words.whole(text)
+
+
+def test_coder_counts_agree_at_every_rebuild(monkeypatch):
+    monkeypatch.setattr(coder, "REBUILD", (4, 32, 200))
+    rng = np.random.default_rng(3)
+    for vocabulary in (1, 7, 300, 49408):
+        blocks = [rng.zipf(1.3, n).clip(1, vocabulary) - 1 for n in (0, 1, 4, 5, 33, 700)]
+        blocks += [np.full(300, vocabulary - 1), np.arange(300) % vocabulary]
+        for got, want in zip(coder.decode_blocks(coder.encode_blocks(blocks, vocabulary)), blocks):
+            assert got.tolist() == want.tolist()
+
+
 def test_token_file_equals_the_tokenizer(spark, docs, rows, empty, monkeypatch):
     monkeypatch.setattr(tokens, "BLOCK_IDS", 100)
     from tokenizers import Tokenizer
