@@ -7,6 +7,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -198,26 +199,37 @@ def write_token_file(
     return folder
 
 
+def _times(matrix: tuple[int, ...], vector: int) -> int:
+    """A bit vector times a bit matrix, given as its rows."""
+    out, k = 0, 0
+    while vector:
+        if vector & 1:
+            out ^= matrix[k]
+        vector >>= 1
+        k += 1
+    return out
+
+
+@cache
+def _zero_bytes(power: int) -> tuple[int, ...]:
+    """What 2**power zero bytes do to a crc32, as a bit matrix."""
+    if power < 0:  # bits
+        step = (0xEDB88320, *(1 << k for k in range(31)))
+        for _ in range(3 + power):
+            step = tuple(_times(step, x) for x in step)
+        return step
+    half = _zero_bytes(power - 1)
+    return tuple(_times(half, x) for x in half)
+
+
 def combine_crc(first: int, second: int, size: int) -> int:
     """crc32 of two byte strings joined, from their crcs and the second one's length."""
-
-    def times(matrix: list[int], vector: int) -> int:
-        out, k = 0, 0
-        while vector:
-            if vector & 1:
-                out ^= matrix[k]
-            vector >>= 1
-            k += 1
-        return out
-
-    step = [0xEDB88320] + [1 << k for k in range(31)]  # one zero bit
-    for _ in range(3):
-        step = [times(step, x) for x in step]  # one zero byte
+    power = 0
     while size:
         if size & 1:
-            first = times(step, first)
-        step = [times(step, x) for x in step]
+            first = _times(_zero_bytes(power), first)
         size >>= 1
+        power += 1
     return first ^ second
 
 

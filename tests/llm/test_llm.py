@@ -197,6 +197,13 @@ def test_coder_learns_and_finds_damage():
         coder.encode_blocks([np.array([50000])], 50000)
 
 
+def test_combined_checksums():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 3, 4, 7, 32768, 12345, 99999):
+        a, b = rng.bytes(int(rng.integers(50))), rng.bytes(n)
+        assert tokens.combine_crc(zlib.crc32(a), zlib.crc32(b), n) == zlib.crc32(a + b)
+
+
 def test_remembered_words_equal_the_tokenizer(monkeypatch):
     monkeypatch.setattr(tokens, "REMEMBERED", 40)
     with open(tokenizer_path(), encoding="utf-8") as file:
