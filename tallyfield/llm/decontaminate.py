@@ -57,13 +57,13 @@ def _windows(template: Column, length: int) -> Column:
 
 
 def _item_windows(items: DataFrame) -> DataFrame:
-    """(item, length, at, hash, tokens, slots) of all informative windows; short items are one window."""
+    """(item, length, words, at, hash, piece, values) of all informative windows; short items are one window."""
     sized = items.withColumn("length", F.least(F.size("template"), F.lit(WINDOW))).filter("length > 0")
     starts = F.sequence(F.lit(1), F.size("template") - F.col("length") + 1)
-    cut = sized.select("item", "length", F.explode(starts).alias("at"), "template", "tokens")
+    cut = sized.select("item", "length", F.size("template").alias("words"), F.explode(starts).alias("at"), "template", "tokens")
     piece = F.slice("template", F.col("at"), F.col("length"))
     rows = cut.select(
-        "item", "length", "at", F.xxhash64(piece).alias("hash"), piece.alias("piece"),
+        "item", "length", "words", "at", F.xxhash64(piece).alias("hash"), piece.alias("piece"),
         F.slice("tokens", F.col("at"), F.col("length")).alias("values"),
     )
     literal = F.size(F.filter("piece", lambda w: ~w.rlike(SLOTS) & (w != "")))
@@ -90,7 +90,8 @@ def find_leaks(
     whole text is looked up among the items' windows; ``coverage`` is the share of an item's distinct
     windows found, at least 0.8. The fillings of the slots are then compared: a re-parameterised copy
     maps each value of the item to one value of the document, so at least 0.8 of the fillings must
-    follow the most frequent mapping. ``same_values`` tells verbatim fillings. Items of fewer words
+    follow the most frequent mapping. Each place of the document where the item may stand is judged on
+    its own (see ``_judge``), and the best is told. ``same_values`` tells verbatim fillings. Items of fewer words
     are one window. Null and empty texts and items hold nothing; empty tables give no rows; ids may be
     null; equal items are reported each.
     """
@@ -118,44 +119,83 @@ def find_leaks(
         .filter(F.col("coverage") >= SIMILARITY)
     )
     candidates = pin(covered, "candidates")
-    # Second look, at candidate documents only: what fills the slots?
+    # Second look, at candidate documents only: where do the windows stand, and what fills the slots?
     some = keyed_join(rows, pin(candidates.select("doc").distinct(), "suspects"), ["doc"], "left_semi")
     some = _tokens(some.dropDuplicates(["doc"]), "text").select("doc", "tokens", "template")
-    slotted = wanted.filter(F.exists("piece", lambda w: w.rlike(SLOTS)))
-    pairs = []
+    hits = []
     for n in lengths:
         zipped = F.transform(
             _windows(F.col("template"), n),
-            lambda h, i: F.struct(h.alias("hash"), F.slice("tokens", i + 1, n).alias("found")),
+            lambda h, i: F.struct(h.alias("hash"), (i + 1).alias("place"), F.slice("tokens", i + 1, n).alias("found")),
         )
         seen = some.select("doc", F.inline(zipped))
-        own = slotted.filter(F.col("length") == n).select("item", "hash", "piece", "values")
-        met = keyed_join(seen, pin(own, "slotted"), ["hash"], "inner").join(
+        own = wanted.filter(F.col("length") == n)
+        met = keyed_join(seen, pin(own, "own-windows"), ["hash"], "inner").join(
             candidates.select("doc", "item"), ["doc", "item"], "left_semi"
         )
-        triples = F.filter(
-            F.arrays_zip("piece", "values", "found"), lambda t: t.piece.rlike(SLOTS)
+        hits.append(met.select("doc", "item", "hash", "words", (F.col("place") - F.col("at")).alias("offset"), _fills().alias("fills")))
+    met = hits[0]
+    for other in hits[1:]:
+        met = met.unionByName(other)
+    judged = _judge(met, sizes)
+    return judged.join(candidates, ["doc", "item"]).join(named.select("item", "item_id"), "item").select(
+        "id", "doc", "item_id", F.round("coverage", 6).alias("coverage"), "slots",
+        F.round("consistency", 6).alias("consistency"), "same_values",
+    )
+
+
+def _fills() -> Column:
+    """(value, found) of each slot of a window that was met."""
+
+    def plain(word: Column) -> Column:
+        return F.regexp_replace(F.lower(word), r"[^\p{L}\p{N}.]+|\.$", "")
+
+    slots = F.filter(F.arrays_zip("piece", "values", "found"), lambda t: t.piece.rlike(SLOTS))
+    return F.transform(slots, lambda t: F.struct(plain(t["values"]).alias("value"), plain(t["found"]).alias("found")))
+
+
+def _judge(met: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(doc, item, slots, consistency, same_values) of the best group of windows that makes a leak.
+
+    A window that was met belongs to several groups: windows at the same offset between document and
+    item; offsets within the item's length of each other (words put in or left out; two copies one
+    after the other never share such a group); windows with the item's own values, wherever they stand; and
+    all of them. One group with enough coverage and consistency is enough, so copies with other
+    fillings, sibling items and chance windows elsewhere take nothing from it.
+    """
+    step = F.greatest(F.floor(F.col("words") / 2), F.lit(1)).cast("int")
+    band = F.floor(F.col("offset") / step).cast("int")
+    same = F.forall("fills", lambda t: t.value == t.found)
+
+    def group(kind: str, place: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), place.cast("int").alias("place"))
+
+    groups = F.array_compact(
+        F.array(
+            group("all", F.lit(0)), group("offset", F.col("offset")), group("near", band), group("near", band - 1),
+            F.when(same, group("same", F.lit(0))),
         )
-        pairs.append(met.select("doc", "item", F.explode(triples).alias("t")))
-    fills = pairs[0]
-    for other in pairs[1:]:
-        fills = fills.unionByName(other)
-    plain = lambda c: F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}.]+|\.$", "")
-    fills = fills.select("doc", "item", plain(F.col("t.values")).alias("value"), plain(F.col("t.found")).alias("found"))
-    counted = fills.groupBy("doc", "item", "value", "found").agg(F.count(F.lit(1)).alias("n"))
-    mapped = counted.groupBy("doc", "item", "value").agg(
+    )
+    keys = ["doc", "item", "kind", "place"]
+    spread = met.select("doc", "item", "hash", "fills", F.inline(groups))
+    covered = spread.groupBy(*keys).agg(F.countDistinct("hash").alias("met")).join(sizes, "item")
+    covered = covered.filter(F.col("met") / F.col("all") >= SIMILARITY).select(*keys, "met")
+    covered = pin(covered, "alignments")
+    fills = spread.join(covered, keys, "left_semi").select(*keys, F.inline("fills"))
+    counted = fills.groupBy(*keys, "value", "found").agg(F.count(F.lit(1)).alias("n"))
+    mapped = counted.groupBy(*keys, "value").agg(
         F.max("n").alias("most"), F.sum("n").alias("n"), F.sum(F.when(F.col("value") == F.col("found"), F.col("n")).otherwise(0)).alias("same")
     )
-    verdict = mapped.groupBy("doc", "item").agg(
+    verdict = mapped.groupBy(*keys).agg(
         F.sum("n").alias("slots"), (F.sum("most") / F.sum("n")).alias("consistency"), (F.sum("same") == F.sum("n")).alias("same_values")
     )
-    judged = candidates.join(verdict, ["doc", "item"], "left")
-    kept = judged.filter(F.coalesce("consistency", F.lit(1.0)) >= CONSISTENCY)
-    return kept.join(named.select("item", "item_id"), "item").select(
-        "id", "doc", "item_id", F.round("coverage", 6).alias("coverage"), F.coalesce("slots", F.lit(0)).alias("slots"),
-        F.round(F.coalesce("consistency", F.lit(1.0)), 6).alias("consistency"),
-        F.coalesce("same_values", F.lit(True)).alias("same_values"),
+    judged = covered.join(verdict, keys, "left").select(
+        "doc", "item", "met", F.coalesce("slots", F.lit(0)).alias("slots"),
+        F.coalesce("consistency", F.lit(1.0)).alias("consistency"), F.coalesce("same_values", F.lit(True)).alias("same_values"),
     )
+    best = F.max(F.struct("same_values", "consistency", "met", "slots")).alias("best")
+    kept = judged.filter(F.col("consistency") >= CONSISTENCY).groupBy("doc", "item").agg(best)
+    return kept.select("doc", "item", "best.slots", "best.consistency", "best.same_values")
 
 
 def drop_leaks(

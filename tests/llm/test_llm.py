@@ -430,6 +430,24 @@ def test_inconsistent_slots_are_no_leak(spark):
     assert bag(decontaminate.find_leaks(table, items), "id") == Counter([(2,)])
 
 
+def test_each_place_of_an_item_is_judged_on_its_own(spark):
+    def fill(*values):
+        return "then {} has {} kg of red apples in the {} of his brother and gives {} of them to her friend today".format(*values)
+
+    item, sibling = fill("Anna", 5, "house", 3), fill("Maria", 70, "house", 40)
+    worksheet = " end. ".join([fill("Olga", 8, "house", 2), fill("Rosa", 11, "house", 6), fill("Lena", 14, "house", 9)])
+    common = " end. ".join(["of red apples in the"] + [f"then {n} has {k} kg of" for k, n in enumerate(["Tom", "Bob", "Max", "Jim"] * 20, 20)])
+    items = spark.createDataFrame([(1, item), (2, sibling)], "item_id long, text string")
+    table = spark.createDataFrame(
+        [(1, worksheet), (2, item + " end. " + sibling), (3, common + " end. " + item + " end. " + common), (4, common)],
+        "doc_id long, text string",
+    )
+    got = bag(decontaminate.find_leaks(table, items), "id", "item_id", "same_values")
+    want = [(1, 1, False), (1, 2, False), (2, 1, True), (2, 2, True), (3, 1, True), (3, 2, False)]
+    assert got == Counter(want)
+    assert [r.doc_id for r in decontaminate.drop_leaks(table, items).collect()] == [4]
+
+
 # 8: rules ---------------------------------------------------------------------------------------
 
 
