@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import random
 import re
+import string
 from functools import lru_cache
 
 import pandas as pd
@@ -31,8 +34,12 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.~-]{16,}")
 #: Characters before a candidate in which a sensitive word counts, and around it that it is measured against.
 BEFORE = 48
 AROUND = 512
-#: Marginal compressed bytes per byte from which a string is reported.
+#: A string is reported when its marginal compressed bytes reach this share of the mean of so many random
+#: strings of the same alphabet and length at the same place, or reach the cheapest of them (short strings vary).
 NOVELTY = 0.9
+REFERENCES = 12
+ALPHABETS = ("0123456789", "0123456789abcdef", "0123456789ABCDEF")
+CLASSES = (string.digits, string.ascii_lowercase, string.ascii_uppercase)
 #: Names that code is full of; the compressor knows them beforehand.
 IDENTIFIERS = " ".join(
     f"{a}{b}"
@@ -51,11 +58,31 @@ def _compressor():
     return zstandard.ZstdCompressor(level=3, dict_data=words, write_checksum=False, write_content_size=False)
 
 
+def alphabet(candidate: str) -> str:
+    """The least usual alphabet that holds a string: digits, hex of one case, or classes and its other signs."""
+    signs = set(candidate.rstrip("="))
+    for known in ALPHABETS:
+        if signs <= set(known):
+            return known
+    held = "".join(c for c in CLASSES if not signs.isdisjoint(c))
+    return held + "".join(sorted(signs.difference(held)))
+
+
+@lru_cache(maxsize=4096)
+def _random(letters: str, length: int, draw: int) -> bytes:
+    return "".join(random.Random(f"{letters} {length} {draw}").choices(letters, k=length)).encode()
+
+
 def novelty(candidate: str, before: str, after: str) -> float:
-    """Marginal compressed bytes of a string per byte, given its surroundings and the identifiers."""
+    """Marginal compressed bytes of a string, given its surroundings and the identifiers, as a share of
+    what random strings of its alphabet and length take there; 1 and more is reported."""
     context, squeeze = (before + "\n" + after + "\n").encode(), _compressor().compress
     alone = len(squeeze(context))
-    return max(len(squeeze(context + candidate.encode())) - alone, 0) / len(candidate.encode())
+    letters = alphabet(candidate)
+    usual = [len(squeeze(context + _random(letters, len(candidate), k))) - alone for k in range(REFERENCES)]
+    # Repeats of one sign or two are cheap for themselves: nothing is compared with less than random digits.
+    least = max(min(min(usual), NOVELTY * sum(usual) / REFERENCES), NOVELTY * len(candidate) * math.log2(10) / 8)
+    return max(len(squeeze(context + candidate.encode())) - alone, 0) / least
 
 
 def find_secrets(text: str) -> list[tuple[int, int, str]]:
@@ -81,7 +108,7 @@ def find_secrets(text: str) -> list[tuple[int, int, str]]:
             if not SENSITIVE.search(text, max(0, m.start() - BEFORE), m.start()):
                 continue
             around = text[max(0, m.start() - AROUND) : m.start()], text[m.end() : m.end() + AROUND]
-            if novelty(m.group(), *around) >= NOVELTY:
+            if novelty(m.group(), *around) >= 1:
                 spans.append((m.start(), m.end(), "novel"))
     return sorted(spans, key=lambda x: (x[0], KINDS.index(x[2])))
 
@@ -90,8 +117,8 @@ def secret_spans(text: Column) -> Column:
     """Array of (start, end, kind) per text; empty for null.
 
     assign, access and hex are the base patterns, leftmost and non-overlapping per kind. novel adds
-    strings of 16 or more characters after a sensitive word, outside every base span, that zstandard,
-    primed with identifiers and the text around, can hardly shorten. Work is linear in the text.
+    strings of 16 or more characters after a sensitive word, outside every base span, that cost zstandard,
+    primed with identifiers and the text around, about as much as random strings of their alphabet and length. Work is linear in the text.
     """
     span = T.StructType(
         [T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("kind", T.StringType())]

@@ -1,7 +1,9 @@
 """Each text operator against plain Python on small tables with nulls, empties, ties, repeats and clashing names."""
 
 import hashlib
+import inspect
 import re
+import string
 import zlib
 from collections import Counter
 
@@ -281,6 +283,19 @@ def test_novel_strings_are_incompressible_ones_in_sensitive_places():
     assert not secrets.find_secrets("the authorization header is getUserTokenValueFromConfig")
 
 
+@pytest.mark.parametrize("between", ["prose", "code"])
+@pytest.mark.parametrize(
+    "letters", [string.ascii_letters + string.digits + "+/", string.ascii_lowercase + string.digits, "0123456789ABCDEF", "0123456789abcdef"]
+)
+def test_random_strings_of_any_alphabet_and_length_are_novel(letters, between):
+    rng = np.random.default_rng(len(letters))
+    text = (secrets.__doc__ + secrets.secret_spans.__doc__ if between == "prose" else inspect.getsource(secrets))[:900]
+    for n in (16, 24, 32, 40, 64, 128, 256, 1000, 4096):
+        shares = [secrets.novelty("".join(rng.choice(list(letters), n)), text[:450], text[450:]) for _ in range(20)]
+        assert sum(x >= 1 for x in shares) >= (16 if n < 128 else 20)
+    assert secrets.novelty("~" * 40, text[:450], text[450:]) < 1
+
+
 # 4: mixing --------------------------------------------------------------------------------------
 
 
