@@ -7,6 +7,7 @@ import math
 import random
 import re
 import string
+from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
@@ -30,7 +31,9 @@ SENSITIVE = re.compile(
     r"(?:password|passwd|pwd|secret|token|api[_-]?key|private[_ -]?key|credential|authorization|bearer|auth|signature)",
     re.I | re.A,
 )
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.~-]{16,}")
+LEAST = 16
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=.~-]{{{LEAST},}}")
+INNER = re.compile(r"=+(?=[^=])")
 #: Characters before a candidate in which a sensitive word counts, and around it that it is measured against.
 BEFORE = 48
 AROUND = 512
@@ -85,6 +88,20 @@ def novelty(candidate: str, before: str, after: str) -> float:
     return max(len(squeeze(context + candidate.encode())) - alone, 0) / least
 
 
+def candidates(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of the strings to measure: a run is cut after each = that is not padding, so a key never
+    counts as part of its value. Without a long value part, all after the first = is the value, or else the run."""
+    for m in CANDIDATE.finditer(text):
+        starts = [m.start(), *(m.start() + x.end() for x in INNER.finditer(m.group()))]
+        parts = [x for x in zip(starts, [*starts[1:], m.end()]) if x[1] - x[0] >= LEAST]
+        if len(starts) > 1 and not any(a > m.start() for a, _ in parts):
+            if m.end() - starts[1] >= LEAST:
+                parts.append((starts[1], m.end()))
+            else:
+                parts = [(m.start(), m.end())]
+        yield from parts
+
+
 def find_secrets(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of all spans of one text, in code points, by start and then kind as listed."""
     spans = []
@@ -100,16 +117,16 @@ def find_secrets(text: str) -> list[tuple[int, int, str]]:
     if hinted:
         taken = sorted(spans)
         at = 0
-        for m in CANDIDATE.finditer(text):
-            while at < len(taken) and taken[at][1] <= m.start():
+        for start, end in candidates(text):
+            while at < len(taken) and taken[at][1] <= start:
                 at += 1
-            if at < len(taken) and taken[at][0] < m.end():
+            if at < len(taken) and taken[at][0] < end:
                 continue
-            if not SENSITIVE.search(text, max(0, m.start() - BEFORE), m.start()):
+            if not SENSITIVE.search(text, max(0, start - BEFORE), start):
                 continue
-            around = text[max(0, m.start() - AROUND) : m.start()], text[m.end() : m.end() + AROUND]
-            if novelty(m.group(), *around) >= 1:
-                spans.append((m.start(), m.end(), "novel"))
+            around = text[max(0, start - AROUND) : start], text[end : end + AROUND]
+            if novelty(text[start:end], *around) >= 1:
+                spans.append((start, end, "novel"))
     return sorted(spans, key=lambda x: (x[0], KINDS.index(x[2])))
 
 

@@ -296,6 +296,19 @@ def test_random_strings_of_any_alphabet_and_length_are_novel(letters, between):
     assert secrets.novelty("~" * 40, text[:450], text[450:]) < 1
 
 
+def test_values_of_keys_without_a_blank_are_novel():
+    value = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYq8Zp3Lk0Tn"
+    keys = ["AWS_SECRET_ACCESS_KEY=", "DB_PWD=", "export AUTH=", "https://x.org/a?b=1&signature=", "private_key=", "X_CREDENTIAL==", "a=auth="]
+    for key in keys:
+        for tail in ("", "==", "\n", "&c=d"):
+            text = f"line one\n{key}{value}{tail}"
+            (found,) = [(a, b) for a, b, k in secrets.find_secrets(text) if k == "novel"]
+            assert text[slice(*found)] == value + ("==" if tail == "==" else ""), key
+    assert not secrets.find_secrets(f"NAME={value}") and not secrets.find_secrets("DB_PWD=secret_placeholder_here")
+    assert list(secrets.candidates("PWD=ab+cd=ef/gh=ijklmn")) == [(4, 22)]
+    assert list(secrets.candidates("SIGNATURE=abcdefghi")) == [(0, 19)]
+
+
 # 4: mixing --------------------------------------------------------------------------------------
 
 
