@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,35 +41,73 @@ def canonical(line: Column) -> Column:
     return F.lower(F.regexp_replace(out, rf"[^\p{{L}}\p{{M}}\p{{N}} {NUMBER}{UNIT}{NAME}]+", ""))
 
 
+def verbatim(line: Column) -> Column:
+    """The words of such a text lowered, without the signs at the edges of those that hold a letter or digit."""
+    inside, sign = r"[\p{L}\p{M}\p{N}]", r"[^\p{L}\p{M}\p{N} ]+"
+    return F.regexp_replace(F.lower(line), rf"(?<![^ ]){sign}(?={inside})|(?<={inside}){sign}(?![^ ])", "")
+
+
 def _tokens(df: DataFrame, text_col: str) -> DataFrame:
-    """Adds tokens (as written) and template (canonical), of equal length."""
+    """Adds tokens (as written), template (canonical) and exact (verbatim), of equal length."""
     spaced = df.withColumn("tokens", words(F.col(text_col))).withColumn("line", F.array_join("tokens", " "))
-    template = F.when(F.size("tokens") > 0, F.split(canonical(F.col("line")), " ")).otherwise(
-        F.array().cast("array<string>")
-    )
-    return spaced.withColumn("template", template).drop("line")
 
+    def split(line: Column) -> Column:
+        return F.when(F.size("tokens") > 0, F.split(line, " ")).otherwise(F.array().cast("array<string>"))
+
+    return spaced.select(
+        "*", split(canonical(F.col("line"))).alias("template"), split(verbatim(F.col("line"))).alias("exact")
+    ).drop("line")
 
-def _windows(template: Column, length: int) -> Column:
+
+def _exact_hash(piece: Column) -> Column:
+    """Verbatim windows have hashes apart from those of templates."""
+    return F.xxhash64(F.lit("verbatim"), piece)
+
+
+def _windows(template: Column, length: int, hashed: Callable[[Column], Column] = F.xxhash64) -> Column:
     """A 64-bit hash of each run of ``length`` template words."""
     starts = F.when(F.size(template) >= length, F.sequence(F.lit(1), F.size(template) - length + 1))
     return F.transform(
-        F.coalesce(starts, F.array().cast("array<int>")), lambda i: F.xxhash64(F.slice(template, i, length))
+        F.coalesce(starts, F.array().cast("array<int>")), lambda i: hashed(F.slice(template, i, length))
     )
 
 
 def _item_windows(items: DataFrame) -> DataFrame:
-    """(item, length, words, at, hash, piece, values) of all informative windows; short items are one window."""
+    """(item, length, words, at, unit, hash, piece, values) of all informative windows; short items are one window.
+
+    The first word has two readings: as it stands, and as it would read after another word or number
+    (NAME or UNIT). Both are rows of the same ``unit``, and ``held`` is the word a second reading must meet.
+    """
     sized = items.withColumn("length", F.least(F.size("template"), F.lit(WINDOW))).filter("length > 0")
     starts = F.sequence(F.lit(1), F.size("template") - F.col("length") + 1)
-    cut = sized.select("item", "length", F.size("template").alias("words"), F.explode(starts).alias("at"), "template", "tokens")
+    inner = F.split(canonical(F.concat(F.lit("1 "), F.array_join("tokens", " "))), " ")[1]
+    cut = sized.select(
+        "item", "length", F.size("template").alias("words"), F.explode(starts).alias("at"), "template", "tokens", inner.alias("inner")
+    )
     piece = F.slice("template", F.col("at"), F.col("length"))
     rows = cut.select(
-        "item", "length", "words", "at", F.xxhash64(piece).alias("hash"), piece.alias("piece"),
-        F.slice("tokens", F.col("at"), F.col("length")).alias("values"),
+        "item", "length", "words", "at", F.xxhash64(piece).alias("unit"), piece.alias("piece"),
+        F.slice("tokens", F.col("at"), F.col("length")).alias("values"), "inner",
     )
     literal = F.size(F.filter("piece", lambda w: ~w.rlike(SLOTS) & (w != "")))
-    return rows.filter(literal >= F.least(F.lit(LITERALS), F.col("length")))
+    rows = rows.filter(literal >= F.least(F.lit(LITERALS), F.col("length")))
+    other = F.concat(F.array("inner"), F.slice("piece", 2, WINDOW))
+    second = rows.filter((F.col("at") == 1) & (F.col("inner") != F.col("piece")[0]))
+    second = second.withColumn("piece", other).withColumn("held", _plain(F.col("values")[0]))
+    both = rows.withColumn("held", F.lit(None).cast("string")).unionByName(second).drop("inner")
+    return both.withColumn("hash", F.xxhash64("piece"))
+
+
+def _exact_windows(items: DataFrame) -> DataFrame:
+    """(item, length, hash) of all verbatim windows, whatever slots they hold."""
+    sized = items.withColumn("length", F.least(F.size("exact"), F.lit(WINDOW))).filter("length > 0")
+    starts = F.sequence(F.lit(1), F.size("exact") - F.col("length") + 1)
+    cut = sized.select("item", "length", F.explode(starts).alias("at"), "exact")
+    return cut.select("item", "length", _exact_hash(F.slice("exact", F.col("at"), F.col("length"))).alias("hash")).distinct()
+
+
+def _plain(word: Column) -> Column:
+    return F.regexp_replace(F.lower(word), r"[^\p{L}\p{N}.]+|\.$", "")
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -91,7 +131,9 @@ def find_leaks(
     windows found, at least 0.8. The fillings of the slots are then compared: a re-parameterised copy
     maps each value of the item to one value of the document, so at least 0.8 of the fillings must
     follow the most frequent mapping. Each place of the document where the item may stand is judged on
-    its own (see ``_judge``), and the best is told. ``same_values`` tells verbatim fillings. Items of fewer words
+    its own (see ``_judge``), and the best is told. Beside the templates, windows of lowered words are
+    looked up as they stand, with any share of slots: 0.8 of those make a leak too, so a text of
+    names, numbers or capitals is found verbatim. ``same_values`` tells verbatim copies. Items of fewer words
     are one window. Null and empty texts and items hold nothing; empty tables give no rows; ids may be
     null; equal items are reported each.
     """
@@ -100,25 +142,33 @@ def find_leaks(
     named = items.select(F.col(item_id_col).alias("item_id"), F.col(item_text_col).alias("text"))
     named = named.withColumn("item", F.xxhash64("text"))
     distinct = named.dropDuplicates(["item"])
-    wanted = pin(_item_windows(_tokens(distinct.select("item", "text"), "text")), "item-windows")
-    sizes = wanted.groupBy("item").agg(F.countDistinct("hash").alias("all"))
-    keys = pin(wanted.select("item", "hash", "length").distinct().join(sizes, "item"), "item-keys")
+    cut = _tokens(distinct.select("item", "text"), "text")
+    wanted = pin(_item_windows(cut), "item-windows")
+    sizes = wanted.groupBy("item").agg(F.countDistinct("unit").alias("all"))
+    exact = _exact_windows(cut).select("item", F.lit(True).alias("exact"), F.col("hash").alias("unit"), "hash", "length")
+    keys = wanted.select("item", F.lit(False).alias("exact"), "unit", "hash", "length").unionByName(exact).distinct()
+    totals = keys.groupBy("item", "exact").agg(F.countDistinct("unit").alias("all"))
+    keys = pin(keys.join(totals, ["item", "exact"]), "item-keys")
     lengths = sorted(r[0] for r in keys.select("length").distinct().collect())  # at most WINDOW numbers
     rows = _keyed(docs, id_col, text_col)
     if not lengths:
         return rows.select("id", "doc", F.lit(0).alias("item_id"), F.lit(0.0).alias("coverage"), F.lit(0).alias("slots"),
                            F.lit(0.0).alias("consistency"), F.lit(True).alias("same_values")).filter("false")
     # Hashes only: a generated row must not carry the text. Distinct keys first, then the items they belong to.
-    hashes = F.concat(*[_windows(F.col("template"), n) for n in lengths])
+    hashes = F.concat(
+        *[_windows(F.col("template"), n) for n in lengths], *[_windows(F.col("exact"), n, _exact_hash) for n in lengths]
+    )
     exploded = _tokens(rows, "text").select("id", "doc", F.explode(hashes).alias("hash"))
     hits = keyed_join(exploded, pin(keys.select("hash").distinct(), "hashes"), ["hash"], "left_semi").distinct()
     per_item = keyed_join(pin(hits, "hits"), keys, ["hash"], "inner")
     covered = (
-        per_item.groupBy("id", "doc", "item")
-        .agg((F.count(F.lit(1)) / F.first("all")).alias("coverage"))
+        per_item.groupBy("id", "doc", "item", "exact")
+        .agg((F.countDistinct("unit") / F.first("all")).alias("coverage"))
         .filter(F.col("coverage") >= SIMILARITY)
     )
-    candidates = pin(covered, "candidates")
+    candidates = pin(
+        covered.groupBy("id", "doc", "item").agg(F.max("coverage").alias("coverage"), F.max("exact").alias("exact")), "candidates"
+    )
     # Second look, at candidate documents only: where do the windows stand, and what fills the slots?
     some = keyed_join(rows, pin(candidates.select("doc").distinct(), "suspects"), ["doc"], "left_semi")
     some = _tokens(some.dropDuplicates(["doc"]), "text").select("doc", "tokens", "template")
@@ -133,25 +183,25 @@ def find_leaks(
         met = keyed_join(seen, pin(own, "own-windows"), ["hash"], "inner").join(
             candidates.select("doc", "item"), ["doc", "item"], "left_semi"
         )
-        hits.append(met.select("doc", "item", "hash", "words", (F.col("place") - F.col("at")).alias("offset"), _fills().alias("fills")))
+        met = met.filter(F.col("held").isNull() | (F.col("held") == _plain(F.col("found")[0])))
+        hits.append(met.select("doc", "item", "unit", "words", (F.col("place") - F.col("at")).alias("offset"), _fills().alias("fills")))
     met = hits[0]
     for other in hits[1:]:
         met = met.unionByName(other)
-    judged = _judge(met, sizes)
-    return judged.join(candidates, ["doc", "item"]).join(named.select("item", "item_id"), "item").select(
-        "id", "doc", "item_id", F.round("coverage", 6).alias("coverage"), "slots",
-        F.round("consistency", 6).alias("consistency"), "same_values",
+    # A verbatim copy is a leak whatever its templates say.
+    judged = candidates.join(_judge(met, sizes), ["doc", "item"], "left").filter(F.col("exact") | F.col("slots").isNotNull())
+    return judged.join(named.select("item", "item_id"), "item").select(
+        "id", "doc", "item_id", F.round("coverage", 6).alias("coverage"), F.coalesce("slots", F.lit(0)).alias("slots"),
+        F.round(F.coalesce("consistency", F.lit(1.0)), 6).alias("consistency"),
+        (F.col("exact") | F.coalesce("same_values", F.lit(False))).alias("same_values"),
     )
 
 
 def _fills() -> Column:
     """(value, found) of each slot of a window that was met."""
 
-    def plain(word: Column) -> Column:
-        return F.regexp_replace(F.lower(word), r"[^\p{L}\p{N}.]+|\.$", "")
-
     slots = F.filter(F.arrays_zip("piece", "values", "found"), lambda t: t.piece.rlike(SLOTS))
-    return F.transform(slots, lambda t: F.struct(plain(t["values"]).alias("value"), plain(t["found"]).alias("found")))
+    return F.transform(slots, lambda t: F.struct(_plain(t["values"]).alias("value"), _plain(t["found"]).alias("found")))
 
 
 def _judge(met: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -177,8 +227,8 @@ def _judge(met: DataFrame, sizes: DataFrame) -> DataFrame:
         )
     )
     keys = ["doc", "item", "kind", "place"]
-    spread = met.select("doc", "item", "hash", "fills", F.inline(groups))
-    covered = spread.groupBy(*keys).agg(F.countDistinct("hash").alias("met")).join(sizes, "item")
+    spread = met.select("doc", "item", "unit", "fills", F.inline(groups))
+    covered = spread.groupBy(*keys).agg(F.countDistinct("unit").alias("met")).join(sizes, "item")
     covered = covered.filter(F.col("met") / F.col("all") >= SIMILARITY).select(*keys, "met")
     covered = pin(covered, "alignments")
     fills = spread.join(covered, keys, "left_semi").select(*keys, F.inline("fills"))

@@ -476,6 +476,23 @@ def test_each_place_of_an_item_is_judged_on_its_own(spark):
     assert [r.doc_id for r in decontaminate.drop_leaks(table, items).collect()] == [4]
 
 
+def test_short_and_slot_rich_items_are_found(spark):
+    items = spark.createDataFrame(
+        [(1, "Which river is the longest"), (2, "12 + 30 ="), (3, "Anna, Tom, Maria, Bob and Jim"), (4, "tiny item"),
+         (5, "Which river flows through Paris today")],
+        "item_id long, text string",
+    )
+    table = spark.createDataFrame(
+        [(1, "Question: Which river is the longest?"), (2, "so 12 + 30 = what"), (3, "they are Anna, Tom, Maria, Bob and Jim."),
+         (4, "a Tiny, item b"), (5, "Question: Which river flows through London today"), (6, "a title\nWhich river flows through Paris today"),
+         (7, "Question: Whose river flows through London today"), (8, "so 12 + 31 = what"), (9, "WHICH RIVER IS THE LONGEST"),
+         (10, "they are Ute, Tom, Maria, Bob and Jim.")],
+        "doc_id long, text string",
+    )
+    got = bag(decontaminate.find_leaks(table, items), "id", "item_id", "same_values")
+    assert got == Counter([(1, 1, True), (2, 2, True), (3, 3, True), (4, 4, True), (5, 5, False), (6, 5, True), (9, 1, True)])
+
+
 # 8: rules ---------------------------------------------------------------------------------------
 
 
