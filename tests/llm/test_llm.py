@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tallyfield.llm import coder, decontaminate, langid, mixing, pii, quality, rules, secrets, simhash, tokens, warc
+from tallyfield.llm import coder, components, decontaminate, langid, mixing, pii, quality, rules, secrets, simhash, tokens, warc
 from tallyfield.llm.components import connected_components
 from tallyfield.llm.queries import tokenizer_path
 
@@ -135,6 +135,13 @@ def test_thresholds_sum_to_what_the_pigeonhole_needs(n):
     assert (simhash.allocate(costs, 3 - m + 1).sum(axis=1) == 3 - m + 1).all()
 
 
+def test_state_of_very_many_links_does_not_overflow(spark):
+    n = 20_000_000
+    edges = spark.range(n).select((F.col("id") + 1).alias("a"), F.col("id").alias("b"))
+    state = components._state(edges)
+    assert state[0] == n and state == components._state(edges.repartition(3)) != components._state(edges.filter("a != 7"))
+
+
 def test_long_chain_has_one_root(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(90, 91), (5, 5), (None, 3)], "a long, b long")
     got = {tuple(r) for r in connected_components(chain).collect()}
