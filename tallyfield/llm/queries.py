@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfield.llm import decontaminate, langid, mixing, pii, quality, rules, secrets, simhash, tokens, warc
+from tallyfield.llm import (
+    decontaminate,
+    langid,
+    mixing,
+    piececount,
+    pii,
+    quality,
+    rules,
+    secrets,
+    simhash,
+    spelling,
+    tokens,
+    warc,
+    whitening,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +35,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def piece_model_path() -> str:
+    """The piece tokenizer of the public collection."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -66,11 +87,24 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piececount.count_tokens(_table(spark, sf_dir, "documents"), piece_model_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_token_file, op3_secret_scan, op4_source_mix, op5_pseudonyms, op6_warc_index,
         op7_benchmark_leaks, op8_quality_rules, op9_language, op10_simhash,
+        op11_whitening, op12_spelling_variants, op13_token_counts,
     )
 }
 
