@@ -17,6 +17,8 @@ HEADER = struct.Struct("<4sBxHIIII")
 #: Slots of the prediction tables, and ids after which the order-0 counts are rebuilt.
 ONE_BITS, TWO_BITS = 11, 12
 REBUILD = (256, 1024, 4096, 16384)
+#: Blocks whose counts are worked out at a time.
+REBUILT = 128
 TOTAL_BITS = 20
 PROB_BITS = 16
 LEARN = 5
@@ -85,24 +87,25 @@ def _step(vocabulary: int, upto: int) -> int:
     return (total - vocabulary) // upto if upto else total // vocabulary
 
 
-def _order_zero(ids: np.ndarray, vocabulary: int, rebuilds: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Start and width of every id of a block by the order-0 counts that hold at its place.
+def _order_zero(ids: list[np.ndarray], vocabulary: int, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Start and width of the ids from ``begin`` to ``end`` of each block, a row per place.
 
-    A value takes room 1, and ``_step`` more for each time it occurs before the last rebuild.
+    They follow the order-0 counts before ``begin``: a value takes room 1, and ``_step`` more for each
+    time it occurs there.
     """
-    start, width = np.empty(len(ids), np.uint32), np.empty(len(ids), np.uint32)
-    for begin, end in zip([0, *rebuilds], [*rebuilds, len(ids)]):
-        if begin >= len(ids):
-            break
-        now, step = ids[begin:end], _step(vocabulary, begin)
+    start = np.zeros((len(ids), end - begin), np.uint32)
+    width, step = np.zeros_like(start), _step(vocabulary, begin)
+    for k, block in enumerate(ids):
+        now = block[begin:end].astype(np.int64)
         if not begin:
-            start[:end], width[:end] = now * step, step
+            start[k, : len(now)], width[k, : len(now)] = now * step, step
             continue
-        counts = np.bincount(ids[:begin], minlength=vocabulary)
+        counts = np.bincount(block[:begin], minlength=vocabulary)
         upto, own = np.cumsum(counts).take(now), counts.take(now)
-        start[begin:end] = now + step * (upto - own)
-        width[begin:end] = 1 + step * own
-    return start, width
+        start[k, : len(now)] = now + step * (upto - own)
+        width[k, : len(now)] = 1 + step * own
+    start = np.ascontiguousarray(start.T)
+    return start, np.ascontiguousarray(width.T)
 
 
 class _Counts:
@@ -116,31 +119,43 @@ class _Counts:
     def __init__(self, vocabulary: int):
         self.upto, self.step = 0, _step(vocabulary, 0)
 
-    def rebuild(self, ids: np.ndarray, vocabulary: int) -> None:
-        rows, upto = ids.shape
+    def rebuild(self, columns: np.ndarray, vocabulary: int) -> None:
+        """Take the counts of all ids so far, given as a column per block."""
+        upto, rows = columns.shape
         self.upto, self.step = upto, _step(vocabulary, upto)
         self.bits = self.step.bit_length() - 1
         self.buckets = 1 << (TOTAL_BITS - self.bits)
+        self.earlier = self.keys = self.start = self.width = None
+        self.earlier = np.empty(rows * self.buckets, np.int16 if upto < 1 << 15 else np.int32)
+        self.keys, self.start, self.width = (np.empty(rows * (upto + 1), np.int32) for _ in range(3))
+        for begin in range(0, rows, REBUILT):
+            end = min(begin + REBUILT, rows)
+            self._fill(np.ascontiguousarray(columns[:, begin:end].T, np.int32), begin)
+
+    def _fill(self, ids: np.ndarray, begin: int) -> None:
+        rows, upto = ids.shape
         held, place = np.sort(ids, axis=1), np.arange(upto, dtype=np.int32)
         keys = np.full((rows, upto + 1), 1 << 30, np.int32)
         np.add(held, place * np.int32(self.step), out=keys[:, :upto])
         earlier = np.zeros((rows, self.buckets + 1), np.int32)
         earlier[np.arange(rows)[:, None], (keys[:, :upto] >> self.bits) + 1] = 1
-        self.earlier = np.cumsum(earlier, axis=1, dtype=np.int32)[:, :-1].reshape(-1)
+        counted = slice(begin * self.buckets, (begin + rows) * self.buckets)
+        self.earlier[counted] = np.cumsum(earlier, axis=1, dtype=np.int32)[:, :-1].reshape(-1)
         differs = held[:, 1:] != held[:, :-1]
         first, end = np.zeros((rows, upto), np.int32), np.full((rows, upto), upto, np.int32)
         np.maximum.accumulate(np.where(differs, place[1:], 0), axis=1, out=first[:, 1:])
         end[:, :-1] = np.minimum.accumulate(np.where(differs, place[1:], upto)[:, ::-1], axis=1)[:, ::-1]
         start, width = np.zeros((rows, upto + 1), np.int32), np.zeros((rows, upto + 1), np.int32)
         start[:, :upto], width[:, :upto] = held + self.step * first, 1 + self.step * (end - first)
-        self.keys, self.start, self.width = keys.reshape(-1), start.reshape(-1), width.reshape(-1)
+        mine = slice(begin * (upto + 1), (begin + rows) * (upto + 1))
+        self.keys[mine], self.start[mine], self.width[mine] = keys.reshape(-1), start.reshape(-1), width.reshape(-1)
 
     def find(self, blocks: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(id, start, width) of the ids in whose room the values lie."""
         if not self.upto:
             ids = value // self.step
             return ids, ids * self.step, np.full(len(ids), self.step, np.int64)
-        before = self.earlier.take(blocks * self.buckets + (value >> self.bits))
+        before = self.earlier.take(blocks * self.buckets + (value >> self.bits)).astype(np.int64)
         at = blocks * (self.upto + 1) + before
         passed = self.keys.take(at) <= value
         before += passed
@@ -167,26 +182,25 @@ def encode_blocks(ids: list[np.ndarray], vocabulary: int = 1 << 16) -> list[byte
     order = sorted(range(len(ids)), key=lambda i: -len(ids[i]))
     lengths = np.array([len(ids[i]) for i in order])
     n, longest = len(ids), int(lengths[0])
-    table = np.zeros((n, longest), np.int32)
-    for k, i in enumerate(order):
-        if len(ids[i]) and not 0 <= int(np.min(ids[i])) <= int(np.max(ids[i])) < vocabulary:
+    blocks = [np.asarray(ids[i]) for i in order]
+    columns = np.zeros((longest, n), np.uint16 if vocabulary <= 1 << 16 else np.int32)
+    for k, block in enumerate(blocks):
+        if len(block) and not 0 <= int(block.min()) <= int(block.max()) < vocabulary:
             raise ValueError("an id lies outside the vocabulary")
-        table[k, : lengths[k]] = ids[i]
+        columns[: lengths[k], k] = block
     model = _Model(n)
-    columns = np.ascontiguousarray(table.T)
-    starts, widths = np.empty((n, longest), np.uint32), np.empty((n, longest), np.uint32)
-    for k in range(n):
-        size = lengths[k]
-        starts[k, :size], widths[k, :size] = _order_zero(table[k, :size], vocabulary, list(REBUILD))
-    del table
-    starts, widths = np.ascontiguousarray(starts.T), np.ascontiguousarray(widths.T)
+    # The order-0 rooms are held for one stretch between two rebuilds at a time.
+    stretches = {b: min(e, longest) for b, e in zip((0, *REBUILD), (*REBUILD, longest)) if b < longest}
     low, size = np.zeros(n, np.int64), np.full(n, START, np.int64)
     room = 3 * longest + 8
     digits = np.zeros(n * room, np.int32)
     place = np.arange(n, dtype=np.int64) * room
     begin = place.copy()
     for t, k in enumerate(_descending(lengths)):
-        now = columns[t, :k]
+        if t in stretches:
+            from_t, starts, widths = t, None, None
+            starts, widths = _order_zero(blocks[:k], vocabulary, t, stretches[t])
+        now = columns[t, :k].astype(np.int32)
         state = model.guess(k)
         held_one, held_two, first, second = state[3], state[4], state[7], state[8]
         right_two = (held_two >> 2) == now
@@ -204,8 +218,8 @@ def encode_blocks(ids: list[np.ndarray], vocabulary: int = 1 << 16) -> list[byte
         np.multiply(unit, width, out=sizes)
         if len(miss):
             unit = sizes.take(miss) >> TOTAL_BITS
-            lows[miss] += unit * starts[t].take(miss)
-            sizes[miss] = unit * widths[t].take(miss)
+            lows[miss] += unit * starts[t - from_t].take(miss)
+            sizes[miss] = unit * widths[t - from_t].take(miss)
         small = np.flatnonzero(sizes < TOP)
         while len(small):
             value = lows.take(small)
@@ -216,6 +230,8 @@ def encode_blocks(ids: list[np.ndarray], vocabulary: int = 1 << 16) -> list[byte
             sizes[small] = wide
             small = small[wide < TOP]
         model.learn(k, now, state, right_two, right_one)
+    del columns, model
+    starts = widths = None
     for _ in range(4):
         digits[place] = low >> SHIFT
         place += 1
@@ -254,20 +270,20 @@ def decode_blocks(blocks: list[bytes]) -> list[np.ndarray]:
     lengths = np.array([heads[i][1] for i in order])
     bodies = [np.frombuffer(blocks[i], "<u2", offset=HEADER.size) for i in order]
     room = max(map(len, bodies)) + 4
-    rows = np.zeros((n, room), np.int64)
+    rows = np.zeros((n, room), np.uint16)
     for k, body in enumerate(bodies):
         rows[k, : len(body)] = body
-    digits = rows.reshape(-1)
+    digits, first = rows.reshape(-1), rows[:, :4].astype(np.int64)
     model, counts = _Model(n), _Counts(vocabulary)
-    columns = np.zeros((int(lengths[0]), n), np.int32)
+    columns = np.zeros((int(lengths[0]), n), np.uint16 if vocabulary <= 1 << 16 else np.int32)
     size = np.full(n, START, np.int64)
-    ahead = (rows[:, 0] << SHIFT) | (rows[:, 1] << 24) | (rows[:, 2] << 8)
+    ahead = (first[:, 0] << SHIFT) | (first[:, 1] << 24) | (first[:, 2] << 8)
     # 56 bits are looked at: three digits and half of the fourth, so digits are read in two halves.
-    ahead |= rows[:, 3] >> 8
+    ahead |= first[:, 3] >> 8
     place = np.arange(n, dtype=np.int64) * room + 3
     for t, k in enumerate(_descending(lengths)):
         if t in REBUILD:
-            counts.rebuild(np.ascontiguousarray(columns[:t, :k].T), vocabulary)
+            counts.rebuild(columns[:t, :k], vocabulary)
         state = model.guess(k)
         held_one, held_two, first, second = state[3], state[4], state[7], state[8]
         heads_on, sizes = ahead[:k], size[:k]
@@ -296,7 +312,7 @@ def decode_blocks(blocks: list[bytes]) -> list[np.ndarray]:
         small = np.flatnonzero(sizes < TOP)
         while len(small):
             at = place.take(small)
-            part = ((digits.take(at) & 0xFF) << 8) | (digits.take(at + 1) >> 8)
+            part = ((digits.take(at).astype(np.int64) & 0xFF) << 8) | (digits.take(at + 1) >> 8)
             ahead[small] = (heads_on.take(small) << DIGIT) | part
             place[small] = at + 1
             wide = sizes.take(small) << DIGIT

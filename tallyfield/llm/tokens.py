@@ -24,7 +24,7 @@ from tallyfield.session import pin, scratch_path
 
 #: Ids per block, blocks coded side by side, and words remembered per worker.
 BLOCK_IDS = 8192
-SIDE_BY_SIDE = 1024
+SIDE_BY_SIDE = 768
 REMEMBERED = 1 << 19
 END_ID = 1
 
@@ -159,6 +159,7 @@ def write_token_file(
         def flush(last: bool) -> pd.DataFrame:
             nonlocal held, sizes, ids, waiting, block, first_row, offset, continues
             stream = np.concatenate(held)
+            held = []
             count = -(-len(stream) // BLOCK_IDS) if last else len(stream) // BLOCK_IDS
             cuts = [stream[k * BLOCK_IDS : (k + 1) * BLOCK_IDS] for k in range(count)]
             out, at = [], 0
