@@ -24,8 +24,8 @@ from tallyfield.session import pin, scratch_path
 
 #: Ids per block, blocks coded side by side, and words remembered per worker.
 BLOCK_IDS = 8192
-SIDE_BY_SIDE = 768
-REMEMBERED = 1 << 19
+SIDE_BY_SIDE = 384
+REMEMBERED = 1 << 18
 END_ID = 1
 
 BLOCK = (
