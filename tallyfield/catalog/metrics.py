@@ -10,12 +10,16 @@ from tallyfield.operators.evaluation import (
     auroc,
     confusion,
     confusion_matrix,
+    hit_average_precision,
+    hit_ndcg,
+    hit_precision,
     mean_average_precision,
     multiclass_metrics,
     ndcg_at,
     per_class_metrics,
     precision_at,
     ranking_lists,
+    ranking_rows,
     rmse,
 )
 from tallyfield.operators.scale import keyed_join
@@ -110,15 +114,18 @@ LISTS = """
                   FROM p JOIN a ON p.user_id = a.user_id AND p.item_id = a.item_id)"""
 
 
-def _lists(t: Tables):
+def _offers(t: Tables):
     lines = t("lineitem").select("l_orderkey", F.col("l_partkey").alias("item_id"), "l_extendedprice")
     orders = t("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("user_id"))
-    offers = (
+    return (
         keyed_join(lines, orders, ["l_orderkey"], "inner")
         .groupBy("user_id", "item_id")
         .agg(F.max("l_extendedprice").alias("score"))
     )
-    return ranking_lists(offers, t.plays, 10, "user_id", "item_id", "score", "play_count")
+
+
+def _lists(t: Tables):
+    return ranking_lists(_offers(t), t.plays, 10, "user_id", "item_id", "score", "play_count")
 
 
 @query(
@@ -165,3 +172,60 @@ def _(t: Tables):
 )
 def _(t: Tables):
     return _rounded(mean_average_precision(_lists(t)), "map")
+
+
+# The same with every even-numbered item a user bought as the truth, or with the 3 most played of them.
+TRUTH = """
+    WITH offers AS (SELECT o_custkey AS user_id, l_partkey AS item_id, max(l_extendedprice) AS score
+                    FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2),
+         p AS (SELECT * FROM (SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS pos FROM offers) WHERE pos <= 10),
+         ranked AS (SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY play_count DESC, item_id) AS pos
+                    FROM plays WHERE item_id % 2 = 0),
+         a AS (SELECT user_id, item_id FROM ranked WHERE pos <= {cut}),
+         users AS (SELECT user_id, count(*) AS wanted FROM a WHERE user_id IN (SELECT user_id FROM p) GROUP BY user_id),
+         places AS (SELECT p.user_id, wanted, pos, CAST(a.item_id IS NOT NULL AS INTEGER) AS hit
+                    FROM p JOIN users ON p.user_id = users.user_id
+                    LEFT JOIN a ON p.user_id = a.user_id AND p.item_id = a.item_id)"""
+FORMS = {"whole_truth": (1_000_000_000, None), "truth_of_3": (3, 3)}
+
+
+def _places(t: Tables, cut: int | None):
+    truth = t.plays.filter(F.col("item_id") % 2 == 0)
+    return ranking_rows(_offers(t), truth, 10, "user_id", "item_id", "score", "play_count", cut)
+
+
+def _ranking_queries(form: str, limit: int, cut: int | None) -> None:
+    head = TRUTH.format(cut=limit)
+
+    @query(f"ranking_places_{form}", head + " SELECT user_id, wanted, pos AS rank, hit FROM places")
+    def _(t: Tables):
+        return _places(t, cut)
+
+    @query(
+        f"precision_at_5_{form}",
+        head + """ SELECT round(sum(hit) FILTER (pos <= 5) / (5.0::DOUBLE * count(DISTINCT user_id)), 6) AS precision_at FROM places""",
+    )
+    def _(t: Tables):
+        return _rounded(hit_precision(_places(t, cut), 5), "precision_at")
+
+    @query(
+        f"ndcg_at_10_{form}",
+        head + """, gain AS (SELECT user_id, sum(hit / log2(pos + 1)) AS g FROM places GROUP BY user_id),
+           ideal AS (SELECT user_id, sum(1 / log2(i + 1)) AS g FROM (SELECT user_id, unnest(range(1, least(wanted, 10) + 1)) AS i FROM users) GROUP BY user_id)
+          SELECT round(avg(gain.g / ideal.g), 6) AS ndcg_at FROM ideal JOIN gain ON ideal.user_id = gain.user_id""",
+    )
+    def _(t: Tables):
+        return _rounded(hit_ndcg(_places(t, cut), 10), "ndcg_at")
+
+    @query(
+        f"mean_average_precision_{form}",
+        head + """, run AS (SELECT *, sum(hit) OVER (PARTITION BY user_id ORDER BY pos) AS so_far FROM places),
+           per AS (SELECT user_id, sum(hit * so_far / pos::DOUBLE) / max(wanted) AS s FROM run GROUP BY user_id)
+          SELECT round(avg(s), 6) AS map FROM per""",
+    )
+    def _(t: Tables):
+        return _rounded(hit_average_precision(_places(t, cut), "user_id"), "map")
+
+
+for _form, (_limit, _cut) in FORMS.items():
+    _ranking_queries(_form, _limit, _cut)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyfield.catalog.columns import HAVERSINE
 from tallyfield.catalog.registry import query
 from tallyfield.catalog.views import Tables
+from tallyfield.operators.geo import pairs_within
 from tallyfield.operators.joins import enrich, exclude, lookup, missing_from, orphans, restrict
 from tallyfield.operators.scale import keyed_join, salted_join
 from tallyfield.operators.sets import count_distinct, dedupe_by, multiset_difference
@@ -124,6 +125,23 @@ def _(t: Tables):
     return pairs.withColumn("distance_km", F.round("distance_km", 3))
 
 
+PART_PLACES = """(SELECT p_partkey AS id, ((p_partkey * 37) % 1800 - 900) / 10.0::DOUBLE AS lat,
+                         ((p_partkey * 91) % 3600 - 1800) / 10.0::DOUBLE AS lon FROM part)"""
+
+
+@query(
+    "join_pairs_within_300_km",
+    f"""SELECT a.id AS id_1, b.id AS id_2, round({HAVERSINE.format(a='a.', b='b.', x='', y='')}, 3) AS distance_km
+        FROM {PART_PLACES} a JOIN {PART_PLACES} b ON a.id < b.id
+        WHERE abs(a.lat - b.lat) <= 3 AND {HAVERSINE.format(a='a.', b='b.', x='', y='')} <= 300""",
+)
+def _(t: Tables):
+    k = F.col("p_partkey")
+    lat, lon = ((k * 37) % 1800 - 900) / 10.0, ((k * 91) % 3600 - 1800) / 10.0
+    places = t("part").select(k.alias("id"), lat.alias("lat"), lon.alias("lon"))
+    return pairs_within(places, "id", "lat", "lon", 300).withColumn("distance_km", F.round("distance_km", 3))
+
+
 @query(
     "join_unmatched_audit",
     "SELECT DISTINCT station_id FROM obs WHERE station_id NOT IN (SELECT station_id FROM station)",

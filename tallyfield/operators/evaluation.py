@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfield.functions import ratio
@@ -177,6 +178,69 @@ def mean_average_precision(df: DataFrame) -> DataFrame:
     return df.agg(F.avg(F.when(wanted > 0, step / wanted).otherwise(0.0)).alias("map"))
 
 
+def ranking_rows(
+    recs: DataFrame,
+    truth: DataFrame,
+    k: int,
+    user: str,
+    item: str,
+    score: str,
+    rating: str | None = None,
+    truth_items: int | None = None,
+) -> DataFrame:
+    """(user, wanted, rank, hit): the ``k`` best items of each user, each marked as used or not.
+
+    ``wanted`` is the number of items the user used. The whole truth counts, however long; with
+    ``truth_items`` only that many of a user's items, best ``rating`` first, do. One join by user and
+    item marks the hits, so nothing is gathered per user. Users on both sides only; a repeated item of
+    the truth counts once. Ties go to the smaller item.
+    """
+    ranked = top_k_per_group(recs, [user], [F.desc(score), F.asc(item)], k, "rank").select(user, item, "rank")
+    used = truth.select(user, item).distinct()
+    if truth_items:
+        if rating is None:
+            raise ValueError("truth_items needs a rating to choose by")
+        used = truth.groupBy(user, item).agg(F.max(rating).alias("_by"))
+        used = top_k_per_group(used, [user], [F.desc("_by"), F.asc(item)], truth_items, "_rank")
+    used = pin(used.select(user, item), "used")
+    sizes = used.groupBy(user).agg(F.count(F.lit(1)).alias("wanted"))
+    marked = ranked.join(used.withColumn("_hit", F.lit(1)), [user, item], "left").join(sizes, user)
+    return marked.select(user, "wanted", "rank", F.coalesce("_hit", F.lit(0)).alias("hit"))
+
+
+def _ranked_users() -> Column:
+    """Users of ranking rows: each has exactly one first place."""
+    return F.count_if(F.col("rank") == 1)
+
+
+def hit_precision(rows: DataFrame, k: int) -> DataFrame:
+    """Mean share of the first ``k`` places that are hits, from ranking rows; places left empty count as misses."""
+    hits = F.sum(F.when(F.col("rank") <= k, F.col("hit")).otherwise(0))
+    return rows.agg(ratio(hits, _ranked_users() * k).alias("precision_at"))
+
+
+def hit_ndcg(rows: DataFrame, k: int) -> DataFrame:
+    """Mean normalised discounted gain of the first ``k`` places, from ranking rows.
+
+    A hit adds its discount over the best sum the user could reach, so gains add up over all rows at once.
+    """
+    best, total = [], 0.0
+    for place in range(1, k + 1):
+        total += 1.0 / math.log2(place + 1)
+        best.append(F.lit(total))
+    ideal = F.element_at(F.array(*best), F.least(F.col("wanted"), F.lit(k)).cast("int"))
+    gain = F.when((F.col("rank") <= k) & (F.col("hit") == 1), F.lit(1.0) / F.log2(F.col("rank") + F.lit(1.0)) / ideal)
+    return rows.agg(ratio(F.sum(F.coalesce(gain, F.lit(0.0))), _ranked_users()).alias("ndcg_at"))
+
+
+def hit_average_precision(rows: DataFrame, user: str) -> DataFrame:
+    """Mean over users of the precision at each hit, over the number of wanted items, from ranking rows."""
+    upto = Window.partitionBy(user).orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = rows.withColumn("_hits", F.sum("hit").over(upto))
+    gain = F.when(F.col("hit") == 1, F.col("_hits") / F.col("rank") / F.col("wanted")).otherwise(0.0)
+    return counted.agg(ratio(F.sum(gain), _ranked_users()).alias("map"))
+
+
 def compare_samplings(
     splits: dict[str, tuple[DataFrame, DataFrame]],
     fit_predict: Callable[[DataFrame, DataFrame], DataFrame],

@@ -6,13 +6,18 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfield.operators.joins import exclude, restrict
-from tallyfield.operators.running import top_k_per_group
+from tallyfield.operators.joins import restrict
+from tallyfield.operators.running import number_rows, top_k_per_group
+from tallyfield.operators.scale import keyed_join
 from tallyfield.session import pin, shared_dir
 
 # Training settings used by default.
 MAX_ITER, REG_PARAM, SEED = 5, 0.01, 1000
-TIER_GROWTH = 4
+# Items of the first round and how much each later round grows.
+FIRST_ITEMS, GROWTH = 64, 8
+MAX_BLOCKS = 10_000
+# Rounding of a product of norms; a block is skipped only when it is this clearly out of reach.
+SLACK = 1e-9
 
 
 def als_fit(
@@ -49,43 +54,96 @@ def als_score(model: ALSModel, pairs: DataFrame) -> DataFrame:
     return model.transform(pairs)
 
 
-def recommend(model: ALSModel, k: int, exclude_seen: DataFrame | None = None) -> DataFrame:
+def recommend(
+    model: ALSModel,
+    k: int,
+    exclude_seen: DataFrame | None = None,
+    first_items: int = FIRST_ITEMS,
+    growth: int = GROWTH,
+) -> DataFrame:
     """(user, item, score, rank): the ``k`` best items of every user over all items.
 
-    With ``exclude_seen`` (rows of user and item) no seen item is returned. Users
-    are handled in tiers by how many items they have seen, and a tier asks for
-    ``k`` plus its largest count, so each user still gets ``k`` items and the
-    work follows the size of the seen table.
+    Exact. Items are numbered by falling length of their factors. A round scores the next items,
+    ``growth`` times as many as before, for the users they can still matter to: a score is at most the
+    product of both lengths, so a block of items is skipped when that falls short of the user's
+    ``k``-th score so far. With ``exclude_seen`` (rows of user and item) seen items leave before they can
+    raise that score, so a user who has seen nearly everything still gets what is left. Nothing is
+    gathered per user: candidates and results are rows, and a result never has more than ``k`` a user.
     """
     user, item = model._java_obj.getUserCol(), model._java_obj.getItemCol()
-    if exclude_seen is None:
-        return _flatten(model.recommendForAllUsers(k), user, item, k)
-    seen = exclude_seen.select(user, item).distinct()
-    counts = model.userFactors.select(F.col("id").alias(user)).join(
-        seen.groupBy(user).agg(F.count(F.lit(1)).alias("_seen")), user, "left"
-    )
-    counts = pin(counts.fillna(0, "_seen"), "seen")
-    most = counts.agg(F.max("_seen")).first()[0] or 0
-    out, low, high = None, -1, 16
-    while low < most:
-        tier = counts.filter((F.col("_seen") > low) & (F.col("_seen") <= high)).select(user)
-        asked = _flatten(model.recommendForUserSubset(tier, k + high), user, item, k + high)
-        out = asked if out is None else out.unionByName(asked)
-        low, high = high, high * TIER_GROWTH
-    fresh = exclude(out, seen, [user, item])
-    return top_k_per_group(fresh.drop("rank"), [user], [F.desc("score"), F.asc(item)], k, "rank")
-
-
-def _flatten(recs: DataFrame, user: str, item: str, k: int) -> DataFrame:
-    rows = recs.select(user, F.posexplode("recommendations").alias("_pos", "_rec"))
-    return rows.select(
-        user,
-        F.col(f"_rec.{item}").alias(item),
-        F.col("_rec.rating").alias("score"),
-        (F.col("_pos") + 1).cast("bigint").alias("rank"),
+    return best_items(
+        model.userFactors.select(F.col("id").alias(user), "features"),
+        model.itemFactors.select(F.col("id").alias(item), "features"),
+        k,
+        exclude_seen,
+        first_items,
+        growth,
     )
 
 
+def best_items(
+    users: DataFrame,
+    items: DataFrame,
+    k: int,
+    exclude_seen: DataFrame | None = None,
+    first_items: int = FIRST_ITEMS,
+    growth: int = GROWTH,
+) -> DataFrame:
+    """:func:`recommend` on factor tables: (user, features) and (item, features).
+
+    Equal scores go to the smaller item. Seen pairs are dealt to the rounds of their items once, so each
+    is compared in one round only.
+    """
+    if growth < 2 or first_items < 1:
+        raise ValueError("rounds must grow: growth at least 2, first_items at least 1")
+    user, item = users.columns[0], items.columns[0]
+    length = F.sqrt(F.aggregate("features", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    people = pin(users.select(user, F.col("features").alias("_u"), length.alias("_len")), "users")
+    placed = items.select(item, F.col("features").alias("_v"), length.alias("_norm"))
+    placed = number_rows(pin(placed, "items"), [], [F.desc("_norm"), F.asc(item)], "_place")
+    total = items.count()
+    size = max(first_items, -(-total // MAX_BLOCKS))
+    placed = pin(placed.withColumn("_block", F.floor((F.col("_place") - 1) / size)), "placed")
+    # At most MAX_BLOCKS rows: the longest factor of each block, falling.
+    reach = [r[1] for r in sorted(placed.groupBy("_block").agg(F.max("_norm")).collect())]
+    bounds, end = [], 0
+    while end < len(reach):
+        begin, end = end, min(len(reach), max(1, end * growth))
+        bounds.append((begin, end))
+    seen = None
+    if exclude_seen is not None:
+        pairs = exclude_seen.select(user, item).dropna().distinct()
+        seen = pin(keyed_join(pairs, placed.select(item, "_block"), [item], "inner"), "seen")
+    rank = len(placed.select("_v").first()[0]) if reach else 0
+    score = sum((F.col("_u")[i].cast("double") * F.col("_v")[i].cast("double") for i in range(rank)), F.lit(0.0))
+    kind = f"{user} {users.schema[user].dataType.simpleString()}, {item} {items.schema[item].dataType.simpleString()}"
+    best = users.sparkSession.createDataFrame([], f"{kind}, score double, rank int")
+    for begin, end in bounds:
+        # The user's k-th score so far; null while there are fewer than k items.
+        kth = best.groupBy(user).agg(
+            F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("_kth")
+        )
+        open_users = people.join(kth, user, "left") if begin else people.withColumn("_kth", F.lit(None).cast("double"))
+        lengths = F.array(*[F.lit(float(x)) for x in reach[begin:end]])
+        bound = F.col("_kth") - SLACK * F.abs("_kth")
+        alive = F.col("_kth").isNull() | (F.col("_len") * reach[begin] >= bound)
+        # Lengths fall, so the blocks in reach are the first ones.
+        blocks = F.filter(
+            F.transform(lengths, lambda x, i: F.when(F.col("_kth").isNull() | (F.col("_len") * x >= bound), (i + begin).cast("bigint"))),
+            lambda i: i.isNotNull(),
+        )
+        asked = open_users.filter(alive).withColumn("_block", F.explode(blocks))
+        mine = placed.filter((F.col("_block") >= begin) & (F.col("_block") < end))
+        scored = keyed_join(asked, mine.select("_block", item, "_v"), ["_block"], "inner").withColumn("score", score)
+        fresh = scored.filter(F.col("_kth").isNull() | (F.col("score") >= F.col("_kth"))).select(user, item, "score")
+        if seen is not None:
+            known = seen.filter((F.col("_block") >= begin) & (F.col("_block") < end)).select(user, item)
+            fresh = fresh.join(known, [user, item], "left_anti")
+        found = best.select(user, item, "score").unionByName(fresh)
+        best = pin(top_k_per_group(found, [user], [F.desc("score"), F.asc(item)], k, "rank"), "best")
+    return best.select(user, item, F.col("score").cast("float").alias("score"), F.col("rank").cast("bigint").alias("rank"))
+
+
 def compare_for_users(
     recs: DataFrame,
     plays: DataFrame,

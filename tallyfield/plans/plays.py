@@ -9,12 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfield.operators.evaluation import (
-    mean_average_precision,
-    ndcg_at,
-    precision_at,
-    ranking_lists,
-)
+from tallyfield.operators.evaluation import hit_average_precision, hit_ndcg, hit_precision, ranking_rows
 from tallyfield.operators.features import index_strings
 from tallyfield.operators.joins import exclude
 from tallyfield.operators.recommend import als_fit, als_score, recommend
@@ -117,12 +112,14 @@ def recommendation_run(
     precision_k: int = 5,
     order: Sequence[str] = ("item_id",),
     exclude_seen: bool = False,
+    truth_items: int | None = None,
     **als,
 ) -> DataFrame:
     """Split, fit, recommend and measure: (method, precision_at, ndcg_at, map, users).
 
     ``all_items`` ranks every item for each user. ``rerank_test_items`` ranks
-    only the items of the user's own test rows, which flatters the model.
+    only the items of the user's own test rows, which flatters the model. A user's
+    whole test rows are the truth; ``truth_items`` cuts them to the most played.
     """
     train, test = per_group_split(indexed(plays), ["user_id"], list(order), every)
     train, test = pin(train, "train"), pin(test, "test")
@@ -133,12 +130,12 @@ def recommendation_run(
     }
     out = None
     for method, recs in found.items():
-        lists = pin(ranking_lists(recs, test, k, "user", "item", "score", "rating"), "lists")
-        row = lists.agg(F.count(F.lit(1)).alias("users")).select(
+        places = pin(ranking_rows(recs, test, k, "user", "item", "score", "rating", truth_items), "places")
+        row = places.agg(F.count_if(F.col("rank") == 1).alias("users")).select(
             F.lit(method).alias("method"),
-            precision_at(lists, precision_k).scalar().alias("precision_at"),
-            ndcg_at(lists, k).scalar().alias("ndcg_at"),
-            mean_average_precision(lists).scalar().alias("map"),
+            hit_precision(places, precision_k).scalar().alias("precision_at"),
+            hit_ndcg(places, k).scalar().alias("ndcg_at"),
+            hit_average_precision(places, "user").scalar().alias("map"),
             "users",
         )
         out = row if out is None else out.unionByName(row)

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfield.functions import active_in, code_where, extra_size, is_blank, overlap_size
-from tallyfield.operators.aggregates import active_span
-from tallyfield.operators.geo import HALF_CIRCUMFERENCE_KM, furthest_pair, pairs_within
+from tallyfield.operators.geo import furthest_pair, pairs_within
 from tallyfield.operators.joins import enrich, lookup, membership_count, restrict
 from tallyfield.operators.scale import keyed_join
 from tallyfield.session import pin
@@ -158,7 +157,7 @@ def territory_total_by_rows(
     return rows.agg(F.count("station_id").alias("stations"))
 
 
-def pair_distances(stations: DataFrame, max_km: float = HALF_CIRCUMFERENCE_KM) -> DataFrame:
+def pair_distances(stations: DataFrame, max_km: float) -> DataFrame:
     """Distances between stations of one country up to ``max_km`` apart, each pair once."""
     return pairs_within(stations, "station_id", "lat", "lon", max_km, within="country_code")
 
@@ -168,11 +167,6 @@ def furthest_stations(stations: DataFrame) -> DataFrame:
     return furthest_pair(stations, "station_id", "lat", "lon", within="country_code")
 
 
-def station_spans(inventory: DataFrame) -> DataFrame:
-    """First and last year per station."""
-    return active_span(inventory, ["station_id"], "first_year", "last_year")
-
-
 def observed_with_station(obs: DataFrame, stations: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Observations of known stations with station columns added."""
     return keyed_join(obs, stations.select("station_id", *cols), ["station_id"], "inner")
