@@ -14,8 +14,9 @@ from tallyfield.session import pin, shared_dir
 # Training settings used by default.
 MAX_ITER, REG_PARAM, SEED = 5, 0.01, 1000
 # Items of the first round and how much each later round grows.
-FIRST_ITEMS, GROWTH = 64, 8
+FIRST_ITEMS, GROWTH = 64, 32
 MAX_BLOCKS = 10_000
+USERS_PER_TASK = 500
 # Rounding of a product of norms; a block is skipped only when it is this clearly out of reach.
 SLACK = 1e-9
 
@@ -100,10 +101,11 @@ def best_items(
     length = F.sqrt(F.aggregate("features", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     people = pin(users.select(user, F.col("features").alias("_u"), length.alias("_len")), "users")
     placed = items.select(item, F.col("features").alias("_v"), length.alias("_norm"))
-    placed = number_rows(pin(placed, "items"), [], [F.desc("_norm"), F.asc(item)], "_place")
-    total = items.count()
+    placed = pin(placed, "items")
+    numbered = number_rows(placed, [], [F.desc("_norm"), F.asc(item)], "_place")
+    total, tasks = placed.count(), max(1, people.count() // USERS_PER_TASK)
     size = max(first_items, -(-total // MAX_BLOCKS))
-    placed = pin(placed.withColumn("_block", F.floor((F.col("_place") - 1) / size)), "placed")
+    placed = pin(numbered.withColumn("_block", F.floor((F.col("_place") - 1) / size)), "placed")
     # At most MAX_BLOCKS rows: the longest factor of each block, falling.
     reach = [r[1] for r in sorted(placed.groupBy("_block").agg(F.max("_norm")).collect())]
     bounds, end = [], 0
@@ -132,7 +134,8 @@ def best_items(
             F.transform(lengths, lambda x, i: F.when(F.col("_kth").isNull() | (F.col("_len") * x >= bound), (i + begin).cast("bigint"))),
             lambda i: i.isNotNull(),
         )
-        asked = open_users.filter(alive).withColumn("_block", F.explode(blocks))
+        # Few bytes but much work: users are spread by number, and stay with their task up to the cut.
+        asked = open_users.filter(alive).repartition(tasks, user).withColumn("_block", F.explode(blocks))
         mine = placed.filter((F.col("_block") >= begin) & (F.col("_block") < end))
         scored = keyed_join(asked, mine.select("_block", item, "_v"), ["_block"], "inner").withColumn("score", score)
         fresh = scored.filter(F.col("_kth").isNull() | (F.col("score") >= F.col("_kth"))).select(user, item, "score")
