@@ -14,7 +14,7 @@ from tallyfield.session import pin, shared_dir
 # Training settings used by default.
 MAX_ITER, REG_PARAM, SEED = 5, 0.01, 1000
 # Items of the first round and how much each later round grows.
-FIRST_ITEMS, GROWTH = 64, 32
+FIRST_ITEMS, GROWTH = 20, 32
 MAX_BLOCKS = 10_000
 USERS_PER_TASK = 500
 # Rounding of a product of norms; a block is skipped only when it is this clearly out of reach.
@@ -55,30 +55,26 @@ def als_score(model: ALSModel, pairs: DataFrame) -> DataFrame:
     return model.transform(pairs)
 
 
-def recommend(
-    model: ALSModel,
-    k: int,
-    exclude_seen: DataFrame | None = None,
-    first_items: int = FIRST_ITEMS,
-    growth: int = GROWTH,
-) -> DataFrame:
+def recommend(model: ALSModel, k: int, exclude_seen: DataFrame | None = None) -> DataFrame:
     """(user, item, score, rank): the ``k`` best items of every user over all items.
 
-    Exact. Items are numbered by falling length of their factors. A round scores the next items,
-    ``growth`` times as many as before, for the users they can still matter to: a score is at most the
-    product of both lengths, so a block of items is skipped when that falls short of the user's
-    ``k``-th score so far. With ``exclude_seen`` (rows of user and item) seen items leave before they can
-    raise that score, so a user who has seen nearly everything still gets what is left. Nothing is
-    gathered per user: candidates and results are rows, and a result never has more than ``k`` a user.
+    With ``exclude_seen`` (rows of user and item) no seen item is returned, and every user still gets the
+    best ``k`` of the others, by :func:`best_items`. Without it MLlib's blocked products do the work.
     """
     user, item = model._java_obj.getUserCol(), model._java_obj.getItemCol()
+    if exclude_seen is None:
+        rows = model.recommendForAllUsers(k).select(user, F.posexplode("recommendations").alias("_pos", "_rec"))
+        return rows.select(
+            user,
+            F.col(f"_rec.{item}").alias(item),
+            F.col("_rec.rating").alias("score"),
+            (F.col("_pos") + 1).cast("bigint").alias("rank"),
+        )
     return best_items(
         model.userFactors.select(F.col("id").alias(user), "features"),
         model.itemFactors.select(F.col("id").alias(item), "features"),
         k,
         exclude_seen,
-        first_items,
-        growth,
     )
 
 
@@ -90,10 +86,15 @@ def best_items(
     first_items: int = FIRST_ITEMS,
     growth: int = GROWTH,
 ) -> DataFrame:
-    """:func:`recommend` on factor tables: (user, features) and (item, features).
+    """(user, item, score, rank): the ``k`` best unseen items, from (user, features) and (item, features).
 
-    Equal scores go to the smaller item. Seen pairs are dealt to the rounds of their items once, so each
-    is compared in one round only.
+    Exact. Items are numbered by falling length of their factors. A round scores the next items,
+    ``growth`` times as many as before, for the users they can still matter to: a score is at most the
+    product of both lengths, so a block of items is skipped when that falls short of the user's
+    ``k``-th score so far. Seen items leave before they can raise that score, so a user who has seen
+    nearly everything still gets what is left; seen pairs are dealt to the rounds of their items once.
+    Nothing is gathered per user: candidates and results are rows, and a result never has more than
+    ``k`` a user. Equal scores go to the smaller item.
     """
     if growth < 2 or first_items < 1:
         raise ValueError("rounds must grow: growth at least 2, first_items at least 1")
