@@ -29,7 +29,18 @@ from tallyfield.operators.sampling import keep_fraction
 from tallyfield.plans.stations import networks
 
 # SQL for the draw of a key under a seed, equal to functions.hash_uniform.
-DRAW = "CAST(('0x' || substr(md5('{seed}|' || {key}), 1, 13)) AS BIGINT) / 4503599627370496.0::DOUBLE"
+_DRAW = "CAST(('0x' || substr(md5('{seed}|' || {key}), 1, 13)) AS BIGINT) / 4503599627370496.0::DOUBLE"
+
+
+class Draw(str):
+    """The draw in SQL; ``key`` lists texts, each led by its length."""
+
+    def format(self, seed: int, key: str | tuple[str, ...]) -> str:
+        parts = (key,) if isinstance(key, str) else key
+        return super().format(seed=seed, key=" || ".join(f"length({p}) || ':' || {p}" for p in parts))
+
+
+DRAW = Draw(_DRAW)
 
 
 @query("select_columns", "SELECT station_id, element, value FROM obs")

@@ -35,7 +35,7 @@ def _(t: Tables):
 
 @query(
     "stratified_split",
-    f"""SELECT event_id, event_type, {DRAW.format(seed=5, key="event_type || '|' || " + EVENT)}
+    f"""SELECT event_id, event_type, {DRAW.format(seed=5, key=("event_type", EVENT))}
                < CASE event_type WHEN 'click' THEN 0.9 ELSE 0.5 END AS chosen FROM events""",
 )
 def _(t: Tables):
@@ -70,7 +70,7 @@ def _(t: Tables):
     "upsample_minority",
     f"""SELECT event_id, event_type, count(*) AS copies FROM (
           SELECT event_id, event_type, unnest(CASE WHEN event_type = 'click' THEN range(1, 21) ELSE [0] END) AS try FROM events)
-        WHERE event_type <> 'click' OR {DRAW.format(seed=1000, key=EVENT + " || '|' || CAST(try AS VARCHAR)")} > 0.5
+        WHERE event_type <> 'click' OR {DRAW.format(seed=1000, key=(EVENT, "CAST(try AS VARCHAR)"))} > 0.5
         GROUP BY event_id, event_type""",
 )
 def _(t: Tables):

@@ -15,6 +15,8 @@ from tallyfield.functions.columns import (
     overlap_size,
     ratio,
     row_hash,
+    row_id,
+    row_key,
     strip_quotes,
     year_of,
 )
@@ -34,6 +36,8 @@ __all__ = [
     "overlap_size",
     "ratio",
     "row_hash",
+    "row_id",
+    "row_key",
     "strip_quotes",
     "year_of",
 ]

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: mean Earth radius in kilometres used by both distance formulas.
 EARTH_RADIUS_KM = 6371.0
@@ -90,18 +93,62 @@ def over_threshold(probability: Column | str, threshold: float, index: int = 1)
     return (vector_to_array(_col(probability))[index] > threshold).cast("int")
 
 
+def key_text(c: Column | str) -> Column:
+    """A value led by its length, or a mark for null: joined texts of different keys never agree."""
+    text = _col(c).cast("string")
+    return F.when(text.isNull(), F.lit("-")).otherwise(F.concat(F.length(text), F.lit(":"), text))
+
+
 def hash_uniform(*keys: Column | str, seed: int = 0) -> Column:
     """A number in [0, 1) fixed by the key values and the seed.
 
     Unlike ``rand`` it does not depend on partitioning or row order, so a retry
     or a different cluster draws the same sample; and being built on MD5 it can
     be recomputed by any other engine. 13 hex digits fill a double exactly.
+    Nulls and separators in the keys matter: different keys draw apart.
     """
-    text = F.concat_ws("|", F.lit(str(seed)), *[_col(k).cast("string") for k in keys])
+    text = F.concat(F.lit(f"{seed}|"), *[key_text(k) for k in keys])
     digits = F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint")
     return digits / F.lit(float(1 << 52))
 
 
+def typed_key(c: Column, kind: T.DataType) -> Column:
+    """Text that is the same for equal values of one type only, never null.
+
+    Instants count in microseconds, -0.0 is 0.0, nested values go element by element, texts and elements
+    are led by their length or number, and a null is marked.
+    """
+    if isinstance(kind, T.TimestampType):
+        text = F.unix_micros(c).cast("string")
+    elif isinstance(kind, (T.DoubleType, T.FloatType)):
+        text = (c + F.lit(0.0).cast(kind)).cast("string")
+    elif isinstance(kind, T.BinaryType):
+        text = F.hex(c)
+    elif isinstance(kind, T.ArrayType):
+        parts = F.array_join(F.transform(c, lambda x: typed_key(x, kind.elementType)), "")
+        text = F.concat(F.size(c).cast("string"), F.lit("["), parts)
+    elif isinstance(kind, T.MapType):
+        entry = T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)])
+        parts = F.array_sort(F.transform(F.map_entries(c), lambda e: typed_key(e, entry)))
+        text = F.concat(F.size(c).cast("string"), F.lit("{"), F.array_join(parts, ""))
+    elif isinstance(kind, T.StructType):
+        fields = [typed_key(c[f.name], f.dataType) for f in kind.fields]
+        text = F.when(c.isNotNull(), F.concat(F.lit("("), *fields))
+    else:
+        text = c.cast("string")
+    return F.when(text.isNull(), F.lit("-")).otherwise(F.concat(F.length(text), F.lit(":"), text))
+
+
+def row_key(df: DataFrame, cols: Sequence[str]) -> Column:
+    """One never-null text key of several columns: equal for rows with the same values, nulls included, only."""
+    return F.concat(F.lit(""), *[typed_key(F.col(c), df.schema[c].dataType) for c in cols])
+
+
 def row_hash(*cols: Column | str) -> Column:
-    """A 64-bit hash of the row's values, a repeatable stand-in for a generated id."""
-    return F.xxhash64(*[_col(c) for c in cols])
+    """A 64-bit hash of the row's values with nulls marked, to spread rows; for an id take :func:`row_id`."""
+    return F.xxhash64(*[key_text(c) for c in cols])
+
+
+def row_id(df: DataFrame, cols: Sequence[str]) -> Column:
+    """SHA-256 of the row's key, in hex: a repeatable id that different rows do not share."""
+    return F.sha2(row_key(df, cols), 256)

@@ -53,10 +53,23 @@ def index_map(df: DataFrame, col: str, out: str) -> DataFrame:
     return numbered.select(col, (F.col("_row") - 1).cast("int").alias(out))
 
 
-def index_strings(df: DataFrame, cols: dict[str, str]) -> DataFrame:
-    """Add a dense index column per entry of ``cols`` (column to index name)."""
+def index_strings(df: DataFrame, cols: dict[str, str], handle_invalid: str = "error") -> DataFrame:
+    """Add a dense index column per entry of ``cols`` (column to index name).
+
+    A null value has no index: ``error`` raises when the row is read, ``skip`` leaves the row out, and
+    ``keep`` gives all nulls the index after the last.
+    """
+    if handle_invalid not in ("error", "keep", "skip"):
+        raise ValueError(f"handle_invalid must be error, keep or skip, not {handle_invalid!r}")
     for col, out in cols.items():
-        df = keyed_join(df, pin(index_map(df, col, out), "index"), [col], "inner")
+        index = pin(index_map(df, col, out), "index")
+        df = keyed_join(df, index, [col], "inner" if handle_invalid == "skip" else "left")
+        if handle_invalid == "keep":
+            last = index.agg(F.count(F.lit(1)).cast("int").alias("n")).scalar()
+            df = df.withColumn(out, F.coalesce(out, last))
+        elif handle_invalid == "error":
+            raised = F.raise_error(F.lit(f"a null in {col} has no index")).cast("int")
+            df = df.withColumn(out, F.when(F.col(col).isNull(), raised).otherwise(F.col(out)))
     return df
 
 

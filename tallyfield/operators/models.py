@@ -17,7 +17,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfield.functions import over_threshold
+from tallyfield.functions import hash_uniform, over_threshold
 
 # Parameter grids searched by default.
 GRIDS: dict[str, dict[str, list]] = {
@@ -84,9 +84,16 @@ def tune(
     folds: int = FOLDS,
     seed: int = SEED,
     parallelism: int = PARALLELISM,
+    key: Sequence[str] | None = None,
     **settings,
 ) -> tuple[CrossValidatorModel, DataFrame]:
-    """Cross-validated grid search: the fitted model and one result row per setting."""
+    """Cross-validated grid search: the fitted model and one result row per setting.
+
+    With ``key`` a row's fold is a hash of its key and the seed, the same however the table is
+    partitioned; without it the validator draws folds by row order.
+    """
+    if key:
+        df = df.withColumn("_fold", F.floor(hash_uniform(*key, seed=seed) * folds).cast("int"))
     base = estimator(name, seed=seed, **settings)
     grid = {k: list(v) for k, v in (grid or GRIDS[name]).items()}
     builder = ParamGridBuilder()
@@ -100,6 +107,7 @@ def tune(
         numFolds=folds,
         seed=seed,
         parallelism=parallelism,
+        **({"foldCol": "_fold"} if key else {}),
     )
     model = search.fit(df)
     rows = [

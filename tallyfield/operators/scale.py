@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyfield.functions.columns import row_key
 from tallyfield.session import pin
 
 BROADCAST_ROWS = 1_000_000
@@ -39,10 +40,8 @@ def fits_broadcast(
 
 
 def null_safe_key(df: DataFrame, cols: Sequence[str]) -> Column:
-    """One never-null key for columns that may hold nulls; 0.0 and -0.0 are equal."""
-    floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
-    values = [(F.col(c) + 0.0 if c in floating else F.col(c)).alias(f"k{i}") for i, c in enumerate(cols)]
-    return F.to_json(F.struct(*values))
+    """One never-null key for columns that may hold nulls; 0.0 and -0.0 are equal, microseconds count."""
+    return row_key(df, cols)
 
 
 def salted_join(

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyfield.functions import row_key
+
 COPIES_PER_CHUNK = 100_000
 
 
@@ -47,5 +49,5 @@ def multiset_difference(
 def count_distinct(df: DataFrame, cols: Sequence[str], rsd: float | None = None) -> DataFrame:
     """Number of distinct rows over ``cols``, nulls counted as values; approximate when ``rsd`` is given."""
     if rsd is not None:
-        return df.agg(F.approx_count_distinct(F.xxhash64(F.to_json(F.struct(*cols))), rsd).alias("n"))
+        return df.agg(F.approx_count_distinct(row_key(df, cols), rsd).alias("n"))
     return df.agg(F.count_distinct(F.struct(*cols)).alias("n"))
