@@ -211,3 +211,12 @@ def _(t: Tables):
 @query("approx_count_distinct")
 def _(t: Tables):
     return count_distinct(t("lineitem"), ["l_orderkey"], rsd=0.02)
+
+
+@query(
+    "set_difference_of_buyers",
+    "SELECT o_custkey AS k FROM orders EXCEPT SELECT c_custkey FROM customer WHERE c_acctbal < 5000",
+)
+def _(t: Tables):
+    poor = t("customer").filter(F.col("c_acctbal") < 5000)
+    return t("orders").select(F.col("o_custkey").alias("k")).subtract(poor.select(F.col("c_custkey").alias("k")))

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from tallyfield.operators.scale import keyed_join
 from tallyfield.session import pin
 
-FEATURES = [f"f{i}" for i in range(10)]
+#: Every position of an embedding is a column.
+FEATURES = [f"f{i}" for i in range(64)]
 CORE = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
 
 VIEWS = {
@@ -64,7 +65,7 @@ VIEWS = {
     "accepted": """
         SELECT p_partkey AS item_id FROM part WHERE p_type = 'PROMO'""",
     "feat": "SELECT vec_id, "
-    + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS f{i}" for i in range(10))
+    + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS f{i}" for i in range(64))
     + ", label FROM embeddings",
     "genre": """
         SELECT vec_id, 'genre ' || CAST(label AS VARCHAR) AS genre FROM embeddings""",
