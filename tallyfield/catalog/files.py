@@ -305,7 +305,7 @@ def _(t: Tables):
     "profile_tables",
     """SELECT 'obs' AS "table", CAST(5 AS INTEGER) AS columns, count(*) AS rows FROM obs
        UNION ALL SELECT 'plays', CAST(3 AS INTEGER), count(*) FROM plays
-       UNION ALL SELECT 'feat', CAST(12 AS INTEGER), count(*) FROM feat""",
+       UNION ALL SELECT 'feat', CAST(66 AS INTEGER), count(*) FROM feat""",
 )
 def _(t: Tables):
     return profile_tables({"obs": t.obs, "plays": t.plays, "feat": t.feat})
