@@ -323,6 +323,24 @@ def _(t: Tables):
     return observations.reconcile(t.obs, t.station)
 
 
+@query(
+    "unmatched_station_ids",
+    """SELECT station_id AS id, 'observations_only' AS side FROM (SELECT station_id FROM obs EXCEPT SELECT station_id FROM station)
+       UNION ALL SELECT station_id, 'stations_only' FROM (SELECT station_id FROM station EXCEPT SELECT station_id FROM obs)""",
+)
+def _(t: Tables):
+    return observations.unmatched_ids(t.obs, t.station)
+
+
+@query(
+    "unmatched_station_counts",
+    """SELECT 'observations_only' AS side, count(*) AS n FROM (SELECT station_id FROM obs EXCEPT SELECT station_id FROM station)
+       UNION ALL SELECT 'stations_only', count(*) FROM (SELECT station_id FROM station EXCEPT SELECT station_id FROM obs)""",
+)
+def _(t: Tables):
+    return observations.unmatched_counts(t.obs, t.station)
+
+
 @query(
     "clean_plays",
     """SELECT * FROM plays WHERE item_id NOT IN (

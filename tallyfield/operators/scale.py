@@ -16,6 +16,9 @@ BROADCAST_BYTES = 64 << 20
 HOT_ROWS = 1_000_000
 WINDOW_ROWS = 1_000_000
 NULL_SALTS = 1024
+#: Keys that are salted at most, and keys the sketch of hot keys remembers.
+HOT_KEYS = 10_000
+SKETCH_KEYS = 100_000
 
 
 def fits_broadcast(
@@ -50,19 +53,13 @@ def salted_join(
     """Equi-join in which no (key, salt) group holds many more than ``hot_rows`` left rows.
 
     Keys with more left rows are spread over ``ceil(rows / hot_rows)`` salts and
-    the right rows of just those keys are repeated once per salt. The table of
-    hot keys has at most ``left rows / hot_rows`` entries; should that still be
-    too many to broadcast, the limit is raised. ``how`` may be inner, left,
-    left_semi or left_anti.
+    the right rows of just those keys are repeated once per salt. ``hot_keys``
+    finds them in one pass without a shuffle of the rows; its table is bounded.
+    ``how`` may be inner, left, left_semi or left_anti.
     """
     on = list(on)
-    sizes = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    large = pin(sizes.filter(F.col("_rows") > hot_rows), "hot")
-    while not fits_broadcast(large.filter(F.col("_rows") > hot_rows)):
-        hot_rows *= 10
-    hot = large.filter(F.col("_rows") > hot_rows).select(
-        *on, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_salts")
-    )
+    right = _same_types(left, right, on)
+    hot = hot_keys(left, on, hot_rows)
     # Row content spreads the rows of one partition, the partition id spreads
     # identical copies over the cluster; both are the same on a retry.
     spread = F.xxhash64(*left.columns) + F.spark_partition_id()
@@ -70,8 +67,8 @@ def salted_join(
     for name in on:
         no_key = no_key | F.col(name).isNull()
     salted_left = (
-        left.withColumn("_spread", spread)
-        .join(F.broadcast(hot), on, "left")
+        left.withColumns({"_spread": spread, "_key": F.xxhash64(*on)})
+        .join(F.broadcast(hot), "_key", "left")
         .withColumn(
             "_salt",
             F.when(no_key, F.pmod("_spread", F.lit(NULL_SALTS)))
@@ -79,19 +76,55 @@ def salted_join(
             .otherwise(F.pmod("_spread", F.col("_salts")))
             .cast("int"),
         )
-        .drop("_spread", "_salts")
+        .drop("_spread", "_salts", "_key")
     )
     salted_right = (
-        right.join(F.broadcast(hot), on, "left")
+        right.withColumn("_key", F.xxhash64(*on))
+        .join(F.broadcast(hot), "_key", "left")
         .withColumn(
             "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
         )
-        .drop("_salts")
+        .drop("_salts", "_key")
     )
     joined = salted_left.join(salted_right, [*on, "_salt"], how)
     return joined.select(*_result_columns(left, right, on, how))
 
 
+def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(_key, _salts): the hashed keys with more than ``hot_rows`` rows, at most ``HOT_KEYS`` of them.
+
+    A frequent-items sketch of ``SKETCH_KEYS`` keys is built per partition and
+    merged, so nothing is grouped by key. A key is missed only below some
+    7 / ``SKETCH_KEYS`` of all rows. The limit is therefore raised to a
+    ``HOT_KEYS``-th of the rows, which no more than ``HOT_KEYS`` keys can pass; the
+    keys below it are small beside any partition. Two keys with one hash share their salts.
+    """
+    no_key = F.lit(False)
+    for name in on:
+        no_key = no_key | F.col(name).isNull()
+    keys = df.filter(~no_key).select(F.xxhash64(*on).alias("_key"))
+    rows, top = keys.agg(
+        F.count(F.lit(1)), F.expr(f"approx_top_k(_key, {HOT_KEYS}, {SKETCH_KEYS})")
+    ).first()
+    limit = max(hot_rows, -(-rows // HOT_KEYS))
+    found = [(t["item"], -(-t["count"] // limit)) for t in top or [] if t["count"] > limit]
+    return df.sparkSession.createDataFrame(found, "_key bigint, _salts int")
+
+
+def _same_types(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """``right`` with keys of the left types, as equal values of two types have two hashes.
+
+    A right value that the left type cannot hold has no partner there and becomes null.
+    """
+    casts = {}
+    for name in on:
+        want, have = left.schema[name].dataType, right.schema[name].dataType
+        if want != have:
+            back = F.col(name).try_cast(want)
+            casts[name] = F.when(back.cast(have) == F.col(name), back)
+    return right.withColumns(casts) if casts else right
+
+
 def _result_columns(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> list[str]:
     """Left columns in their order, then what the right side adds."""
     if how in ("left_semi", "left_anti"):

@@ -168,6 +168,27 @@ def fully_good(obs: DataFrame) -> DataFrame:
     )
 
 
+def unmatched_ids(obs: DataFrame, stations: DataFrame, key: str = "station_id") -> DataFrame:
+    """(id, side): ids that only one table holds, in one pass over both.
+
+    Each row carries one bit for its table. The bits of an id are or-ed on the
+    map side, so a hot id costs one row a task and nothing is joined. Null is an id like any other.
+    """
+    tagged = obs.select(F.col(key).alias("id"), F.lit(1).alias("seen")).unionByName(
+        stations.select(F.col(key).alias("id"), F.lit(2).alias("seen"))
+    )
+    seen = tagged.groupBy("id").agg(F.bit_or("seen").alias("seen")).filter(F.col("seen") < 3)
+    return seen.select("id", F.when(F.col("seen") == 1, "observations_only").otherwise("stations_only").alias("side"))
+
+
+def unmatched_counts(obs: DataFrame, stations: DataFrame, key: str = "station_id") -> DataFrame:
+    """(side, n) of ``unmatched_ids``; a side without such ids has 0."""
+    ids = unmatched_ids(obs, stations, key)
+    sides = ("observations_only", "stations_only")
+    row = ids.agg(*[F.count_if(F.col("side") == s).alias(s) for s in sides])
+    return row.select(F.inline(F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("n")) for s in sides])))
+
+
 def reconcile(obs: DataFrame, stations: DataFrame, key: str = "station_id") -> DataFrame:
     """(side, method, n): ids on one side only, by anti join, subtract and exceptAll forms.
 

@@ -6,8 +6,9 @@ import itertools
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyfield.operators.evaluation import hit_average_precision, hit_ndcg, hit_precision, ranking_rows
 from tallyfield.operators.features import index_strings
@@ -15,7 +16,11 @@ from tallyfield.operators.joins import exclude
 from tallyfield.operators.recommend import als_fit, als_score, recommend
 from tallyfield.operators.running import cumulative_share
 from tallyfield.operators.sampling import per_group_split
-from tallyfield.session import pin
+from tallyfield.operators.scale import keyed_join
+from tallyfield.session import pin, scratch_path
+
+#: Folders of a bucketed copy.
+BUCKETS = 64
 
 
 def clean_plays(
@@ -69,26 +74,113 @@ def trim_sparse(
     """Drop users with few items and items with few users.
 
     Both tests use the counts before the step. ``iterate`` repeats the step
-    until nothing more is dropped, or raises after ``max_rounds`` when that is given.
+    until nothing more is dropped (see ``peel``), or raises after ``max_rounds`` when that is given.
     ``measure='plays'`` tests an item's plays.
     """
-    rows = plays.count() if iterate else None
-    for done in itertools.count():
-        if max_rounds is not None and done >= max_rounds:
+    if iterate:
+        return peel(plays, min_items, min_users, measure, max_rounds)[0]
+    quiet = plays.groupBy("user_id").agg(F.count("item_id").alias("n")).filter(F.col("n") < min_items)
+    size = F.count("user_id") if measure == "users" else F.sum("play_count")
+    rare = plays.groupBy("item_id").agg(size.alias("n")).filter(F.col("n") < min_users)
+    return exclude(exclude(plays, quiet, "user_id"), rare, "item_id")
+
+
+def peel(
+    plays: DataFrame,
+    min_items: int,
+    min_users: int,
+    measure: str = "users",
+    max_rounds: int | None = None,
+    buckets: int = BUCKETS,
+) -> tuple[DataFrame, list[dict[str, int]]]:
+    """The rows left when sparse users and items are dropped until none is left, and what each round read.
+
+    The rows are counted once. They are kept in two copies, bucketed by user and by
+    item; a round reads only the buckets of the ids dropped just before, subtracts
+    the rows that went with them, and looks again at the users and items of those rows
+    alone. Tests of a round use the counts before it. Null users and items are never dropped.
+    The log has (users, items, buckets, rows) of each round: ids dropped, buckets read, rows removed.
+    """
+    spark = plays.sparkSession
+    limits = {"user_id": min_items, "item_id": min_users}
+    measures = {
+        "user_id": (F.count("item_id"), F.count("item_id")),
+        "item_id": (F.count("user_id"),) * 2 if measure == "users" else (F.sum("play_count"), F.count("play_count")),
+    }
+    edges = plays.select("user_id", "item_id", "play_count")
+    copies, counts, gone, fresh = {}, {}, {}, {}
+    for key in limits:
+        copies[key] = scratch_path(spark, f"by-{key}")
+        _bucketed(edges, key, buckets).write.partitionBy("_bucket").parquet(copies[key])
+        counts[key], gone[key] = scratch_path(spark, f"counts-{key}"), scratch_path(spark, f"gone-{key}")
+        total, present = measures[key]
+        base = edges.groupBy(key).agg(total.alias("n"), present.alias("present"))
+        base = base.filter(F.col(key).isNotNull()).withColumn("round", F.lit(0))
+        base.write.parquet(counts[key])
+        fresh[key] = spark.read.parquet(counts[key]).filter(_sparse(key, limits[key], measure)).select(key)
+    layout = T.StructType([*edges.schema.fields, T.StructField("_bucket", T.IntegerType())])
+    log = []
+    for at in itertools.count():
+        if max_rounds is not None and at >= max_rounds:
             raise RuntimeError(f"trimming did not settle in {max_rounds} rounds")
-        quiet = (
-            plays.groupBy("user_id").agg(F.count("item_id").alias("n")).filter(F.col("n") < min_items)
-        )
-        size = F.count("user_id") if measure == "users" else F.sum("play_count")
-        rare = plays.groupBy("item_id").agg(size.alias("n")).filter(F.col("n") < min_users)
-        plays = exclude(exclude(plays, quiet, "user_id"), rare, "item_id")
-        if not iterate:
-            return plays
-        plays = pin(plays, "trimmed")
-        left = plays.count()
-        if left == rows:
-            return plays
-        rows = left
+        fresh = {key: pin(ids, "fresh") for key, ids in fresh.items()}
+        dropped = {key: ids.count() for key, ids in fresh.items()}
+        if not any(dropped.values()):
+            break
+        users, items = (spark.read.schema(layout).parquet(copies[k]) for k in limits)
+        near_users, read_users = _beside(users, fresh["user_id"], "user_id", buckets)
+        near_items, read_items = _beside(items, fresh["item_id"], "item_id", buckets)
+        # A row of a dropped user and a dropped item goes once; rows that went in earlier rounds are not met again.
+        lost = near_users.unionByName(keyed_join(near_items, fresh["user_id"], ["user_id"], "left_anti"))
+        if at:
+            for key in limits:
+                lost = keyed_join(lost, spark.read.parquet(gone[key]), [key], "left_anti")
+        lost = pin(lost, "lost")
+        log.append({"users": dropped["user_id"], "items": dropped["item_id"], "buckets": read_users + read_items, "rows": lost.count()})
+        for key in limits:
+            fresh[key].write.mode("append").parquet(gone[key])
+        for key, limit in limits.items():
+            total, present = measures[key]
+            taken = lost.filter(F.col(key).isNotNull()).groupBy(key).agg(total.alias("_n"), present.alias("_present"))
+            taken = pin(keyed_join(taken, spark.read.parquet(gone[key]), [key], "left_anti"), "taken")
+            states = keyed_join(spark.read.parquet(counts[key]), taken.select(key), [key], "left_semi")
+            latest = states.groupBy(key).agg(F.max_by(F.struct("n", "present"), "round").alias("_was"))
+            now = latest.join(taken, key).select(
+                key,
+                (F.col("_was.n") - F.coalesce("_n", F.lit(0))).alias("n"),
+                (F.col("_was.present") - F.col("_present")).alias("present"),
+                F.lit(at + 1).alias("round"),
+            )
+            now = pin(now, "now")
+            now.write.mode("append").parquet(counts[key])
+            fresh[key] = now.filter(_sparse(key, limit, measure)).select(key)
+    out = plays
+    if log:
+        for key in limits:
+            out = keyed_join(out, spark.read.parquet(gone[key]), [key], "left_anti")
+    return out, log
+
+
+def _sparse(key: str, limit: int, measure: str) -> Column:
+    """Below the limit; a sum over no play count at all is unknown and stays."""
+    known = F.lit(True) if key == "user_id" or measure == "users" else F.col("present") > 0
+    return (F.col("n") < limit) & known
+
+
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def _bucketed(edges: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Rows gathered by bucket, each bucket in up to eight files so that a hot id is not one task's work."""
+    part = F.pmod(F.xxhash64("user_id", "item_id", "play_count") + F.spark_partition_id(), F.lit(8))
+    return edges.withColumns({"_bucket": _bucket(key, buckets), "_part": part}).repartition("_bucket", "_part").drop("_part")
+
+
+def _beside(copy: DataFrame, ids: DataFrame, key: str, buckets: int) -> tuple[DataFrame, int]:
+    """The rows of ``ids`` from the buckets that hold them, and the number of those buckets (a fixed bound)."""
+    wanted = [r[0] for r in ids.select(_bucket(key, buckets).alias("b")).distinct().collect()]
+    return keyed_join(copy.filter(F.col("_bucket").isin(wanted)).drop("_bucket"), ids, [key], "left_semi"), len(wanted)
 
 
 def leftovers(plays: DataFrame, min_items: int) -> DataFrame:

@@ -125,6 +125,50 @@ def test_fixed_point_against_brute_force(spark):
     assert {(r.user_id, r.item_id) for r in out.collect()} == kept and kept
 
 
+@pytest.mark.parametrize("measure,least", [("users", 6), ("plays", 14)])
+def test_peeling_against_brute_force(spark, measure, least):
+    rng = random.Random(7)
+    rows = [(rng.randrange(40) or None, rng.randrange(30) or None, rng.choice([1, 2, 3, None])) for _ in range(300)]
+    rows += rows[:20] + [(None, None, 1), (99, 99, None)]
+    df = spark.createDataFrame(rows, "user_id int, item_id int, play_count bigint")
+    kept = rows
+    while True:
+        users = Counter(u for u, i, _ in kept if i is not None)
+        items = Counter(i for u, i, _ in kept if u is not None)
+        if measure == "plays":
+            items = {i: sum(known) for i in {r[1] for r in kept} if (known := [n for _, j, n in kept if j == i and n is not None])}
+        poor = {u for u, _, _ in kept if users[u] < 6} - {None}
+        rare = {i for _, i, _ in kept if i in items and items[i] < least or measure == "users" and items[i] < least} - {None}
+        left = [r for r in kept if r[0] not in poor and r[1] not in rare]
+        if len(left) == len(kept):
+            break
+        kept = left
+    out, log = plays.peel(df, 6, least, measure, buckets=8)
+    assert Counter(map(tuple, out.collect())) == Counter(kept) and kept
+    assert sum(r["rows"] for r in log) == len(rows) - len(kept) and len(log) > 1
+
+
+def test_peeling_a_chain_reads_less_each_round(spark):
+    # A chain that comes apart from one end, beside a block that stays whole.
+    chain = [(u, u + d, 1) for u in range(4) for d in (0, 1)][:-1]
+    block = [(u, i, 1) for u in range(100, 110) for i in range(100, 110)]
+    df = spark.createDataFrame(chain + block, "user_id int, item_id int, play_count bigint")
+    out, log = plays.peel(df, 2, 2, buckets=16)
+    assert out.count() == len(block)
+    assert max(r["buckets"] for r in log[1:]) <= 4 and len(log) > 3
+    with pytest.raises(RuntimeError):
+        plays.peel(df, 2, 2, max_rounds=1, buckets=2)
+
+
+def test_unmatched_ids_in_one_pass(spark):
+    a = spark.createDataFrame([("x",), ("x",), ("y",), (None,)], "station_id string")
+    b = spark.createDataFrame([("y",), ("z",)], "station_id string")
+    found = {tuple(r) for r in observations.unmatched_ids(a, b).collect()}
+    assert found == {("x", "observations_only"), (None, "observations_only"), ("z", "stations_only")}
+    assert [tuple(r) for r in observations.unmatched_counts(a, a).collect()] == [("observations_only", 0), ("stations_only", 0)]
+    assert observations.unmatched_ids(a, b)._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
+
+
 def test_clean_plays_keeps_accepted_items(spark):
     df = spark.createDataFrame([("u", "a", 1), ("u", "b", 1), ("u", "c", 1)], "user_id string, item_id string, play_count int")
     bad = spark.createDataFrame([("a",), ("b",)], "item_id string")

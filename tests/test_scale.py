@@ -39,6 +39,24 @@ def test_salted_join_equals_plain_join(spark, how):
     assert left.join(right, "k", how).exceptAll(salted).isEmpty()
 
 
+def test_hot_keys_from_a_sketch(spark):
+    left = skewed(spark)
+    found = {r["_key"]: r["_salts"] for r in scale.hot_keys(left, ["k"], 500).collect()}
+    key = spark.range(1).select(F.xxhash64(F.lit("hot"))).first()[0]
+    assert found == {key: 2}
+    assert scale.hot_keys(left.limit(0), ["k"], 1).isEmpty()
+    # A limit lower than the share the sketch can tell is raised.
+    assert scale.hot_keys(left, ["k"], 0).count() == left.filter("k is not null").select("k").distinct().count()
+
+
+def test_salted_join_of_two_key_types(spark):
+    left = spark.createDataFrame([(i % 3, i) for i in range(60)], "k int, v int")
+    right = spark.createDataFrame([(0, 1), (1, 2), (5_000_000_000, 3)], "k bigint, r int")
+    joined = scale.salted_join(left, right, ["k"], "left", hot_rows=5)
+    assert joined.exceptAll(left.join(right.withColumn("k", F.col("k").try_cast("int")), "k", "left")).isEmpty()
+    assert joined.count() == 60 and joined.filter("r = 2").count() == 20
+
+
 def test_salt_spreads_identical_rows(spark):
     copies = spark.createDataFrame([("hot", 1)] * 4000, "k string, v int").repartition(8)
     right = spark.createDataFrame([("hot", 9)], "k string, r int")
