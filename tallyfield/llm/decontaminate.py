@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,16 +57,23 @@ def _tokens(df: DataFrame, text_col: str) -> DataFrame:
     ).drop("line")
 
 
-def _exact_hash(piece: Column) -> Column:
-    """Verbatim windows have hashes apart from those of templates."""
-    return F.xxhash64(F.lit("verbatim"), piece)
+def _word_hashes(piece: Column) -> Column:
+    return F.transform(piece, lambda w: F.xxhash64(w))
+
+
+def _exact_word_hashes(piece: Column) -> Column:
+    """Words of verbatim windows have hashes apart from those of templates."""
+    return F.transform(piece, lambda w: F.xxhash64(F.lit("verbatim"), w))
 
 
-def _windows(template: Column, length: int, hashed: Callable[[Column], Column] = F.xxhash64) -> Column:
-    """A 64-bit hash of each run of ``length`` template words."""
-    starts = F.when(F.size(template) >= length, F.sequence(F.lit(1), F.size(template) - length + 1))
+def _windows(hashed: Column, length: int) -> Column:
+    """A 64-bit hash of each run of ``length`` words, combined from their own hashes.
+
+    Equals ``xxhash64`` of the run's array of word hashes, so an item's window may be hashed as one piece.
+    """
+    starts = F.when(F.size(hashed) >= length, F.sequence(F.lit(0), F.size(hashed) - length))
     return F.transform(
-        F.coalesce(starts, F.array().cast("array<int>")), lambda i: hashed(F.slice(template, i, length))
+        F.coalesce(starts, F.array().cast("array<int>")), lambda i: F.xxhash64(*[F.get(hashed, i + k) for k in range(length)])
     )
 
 
@@ -95,7 +100,7 @@ def _item_windows(items: DataFrame) -> DataFrame:
     second = rows.filter((F.col("at") == 1) & (F.col("inner") != F.col("piece")[0]))
     second = second.withColumn("piece", other).withColumn("held", _plain(F.col("values")[0]))
     both = rows.withColumn("held", F.lit(None).cast("string")).unionByName(second).drop("inner")
-    return both.withColumn("hash", F.xxhash64("piece"))
+    return both.withColumn("hash", F.xxhash64(_word_hashes(F.col("piece"))))
 
 
 def _exact_windows(items: DataFrame) -> DataFrame:
@@ -103,7 +108,7 @@ def _exact_windows(items: DataFrame) -> DataFrame:
     sized = items.withColumn("length", F.least(F.size("exact"), F.lit(WINDOW))).filter("length > 0")
     starts = F.sequence(F.lit(1), F.size("exact") - F.col("length") + 1)
     cut = sized.select("item", "length", F.explode(starts).alias("at"), "exact")
-    return cut.select("item", "length", _exact_hash(F.slice("exact", F.col("at"), F.col("length"))).alias("hash")).distinct()
+    return cut.select("item", "length", F.xxhash64(_exact_word_hashes(F.slice("exact", F.col("at"), F.col("length")))).alias("hash")).distinct()
 
 
 def _plain(word: Column) -> Column:
@@ -155,10 +160,12 @@ def find_leaks(
         return rows.select("id", "doc", F.lit(0).alias("item_id"), F.lit(0.0).alias("coverage"), F.lit(0).alias("slots"),
                            F.lit(0.0).alias("consistency"), F.lit(True).alias("same_values")).filter("false")
     # Hashes only: a generated row must not carry the text. Distinct keys first, then the items they belong to.
-    hashes = F.concat(
-        *[_windows(F.col("template"), n) for n in lengths], *[_windows(F.col("exact"), n, _exact_hash) for n in lengths]
+    # Each word is hashed once, however many windows it stands in.
+    hashes = F.concat(*[_windows(F.col(side), n) for side in ("template", "exact") for n in lengths])
+    hashed = _tokens(rows, "text").select(
+        "id", "doc", _word_hashes(F.col("template")).alias("template"), _exact_word_hashes(F.col("exact")).alias("exact")
     )
-    exploded = _tokens(rows, "text").select("id", "doc", F.explode(hashes).alias("hash"))
+    exploded = hashed.select("id", "doc", F.explode(hashes).alias("hash"))
     hits = keyed_join(exploded, pin(keys.select("hash").distinct(), "hashes"), ["hash"], "left_semi").distinct()
     per_item = keyed_join(pin(hits, "hits"), keys, ["hash"], "inner")
     covered = (
@@ -171,11 +178,11 @@ def find_leaks(
     )
     # Second look, at candidate documents only: where do the windows stand, and what fills the slots?
     some = keyed_join(rows, pin(candidates.select("doc").distinct(), "suspects"), ["doc"], "left_semi")
-    some = _tokens(some.dropDuplicates(["doc"]), "text").select("doc", "tokens", "template")
+    some = _tokens(some.dropDuplicates(["doc"]), "text").select("doc", "tokens", _word_hashes(F.col("template")).alias("hashed"))
     hits = []
     for n in lengths:
         zipped = F.transform(
-            _windows(F.col("template"), n),
+            _windows(F.col("hashed"), n),
             lambda h, i: F.struct(h.alias("hash"), (i + 1).alias("place"), F.slice("tokens", i + 1, n).alias("found")),
         )
         seen = some.select("doc", F.inline(zipped))
