@@ -33,16 +33,18 @@ def canonical(line: Column) -> Column:
     A number becomes NUMBER, a unit after a number UNIT, a capitalised word inside a sentence NAME;
     other words are lowered and lose everything but letters and digits.
     """
-    out = F.regexp_replace(line, r"(?<=[\p{L}\p{N},;:)] )\p{Lu}[\p{L}\p{M}'-]*", NAME)
-    out = F.regexp_replace(out, r"(?<![\p{L}\p{N}])[+-]?[$€£]?\d+(?:[.,:/]\d+)*%?(?![\p{L}\p{N}])", NUMBER)
-    out = F.regexp_replace(out, rf"(?i)(?<={NUMBER} )(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", UNIT)
+    # Each pattern starts with a character that few places have, so the costlier looks around it are rare.
+    out = F.regexp_replace(line, r" (?<=[\p{L}\p{N},;:)] )\p{Lu}[\p{L}\p{M}'-]*", f" {NAME}")
+    out = F.regexp_replace(out, r"(?=[+$€£\d-])(?<![\p{L}\p{N}])[+-]?[$€£]?\d+(?:[.,:/]\d+)*%?(?![\p{L}\p{N}])", NUMBER)
+    out = F.regexp_replace(out, rf"{NUMBER} (?i:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f"{NUMBER} {UNIT}")
     return F.lower(F.regexp_replace(out, rf"[^\p{{L}}\p{{M}}\p{{N}} {NUMBER}{UNIT}{NAME}]+", ""))
 
 
 def verbatim(line: Column) -> Column:
     """The words of such a text lowered, without the signs at the edges of those that hold a letter or digit."""
     inside, sign = r"[\p{L}\p{M}\p{N}]", r"[^\p{L}\p{M}\p{N} ]+"
-    return F.regexp_replace(F.lower(line), rf"(?<![^ ]){sign}(?={inside})|(?<={inside}){sign}(?![^ ])", "")
+    edge = rf"(?={sign})(?:(?<![^ ]){sign}(?={inside})|(?<={inside}){sign}(?![^ ]))"
+    return F.regexp_replace(F.lower(line), edge, "")
 
 
 def _tokens(df: DataFrame, text_col: str) -> DataFrame:
