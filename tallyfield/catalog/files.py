@@ -184,11 +184,11 @@ def _attribute_file(folder: str) -> str:
 @query(
     "read_feature_set",
     "SELECT CAST(vec_id AS VARCHAR) AS track_id, "
-    + ", ".join(f"round(CAST(embedding[{i + 1}] AS DOUBLE), 4) AS mfcc_v{i}" for i in range(16))
+    + ", ".join(f"round(CAST(embedding[{i + 1}] AS DOUBLE), 4) AS mfcc_v{i}" for i in range(64))
     + " FROM embeddings",
 )
 def _(t: Tables):
-    attributes, data = _set_files(t, 0, 16, quoted=True)
+    attributes, data = _set_files(t, 0, 64, quoted=True)
     df = read_feature_set(t.spark, _attribute_file(attributes), data, prefix="mfcc_")
     names = columns_with_prefix(df, "mfcc_")
     return df.select("track_id", *[F.round(c, 4).alias(c) for c in names])
@@ -197,23 +197,27 @@ def _(t: Tables):
 @query(
     "read_wide_feature_set",
     """SELECT CAST(vec_id AS VARCHAR) AS track_id, CAST(len(embedding) AS INTEGER) AS width,
-              round(list_sum(CAST(embedding AS DOUBLE[])), 4) AS total
-       FROM embeddings""",
+              round(list_sum(CAST(embedding AS DOUBLE[])), 4) AS total, """
+    + ", ".join(f"round(CAST(embedding[{i + 1}] AS DOUBLE), 4) AS v{i}" for i in range(64))
+    + " FROM embeddings",
 )
 def _(t: Tables):
     attributes, data = _set_files(t, 0, 64, quoted=False)
     df = read_feature_set(t.spark, _attribute_file(attributes), data, as_array=True)
     total = F.aggregate("features", F.lit(0.0), lambda a, x: a + x)
-    return df.select("track_id", F.size("features").alias("width"), F.round(total, 4).alias("total"))
+    rounded = [F.round(F.col("features")[i], 4).alias(f"v{i}") for i in range(64)]
+    return df.select("track_id", F.size("features").alias("width"), F.round(total, 4).alias("total"), *rounded)
 
 
 @query(
     "attribute_type_words",
-    "SELECT DISTINCT unnest(['NUMERIC', 'STRING']) AS type_word FROM embeddings",
+    "SELECT DISTINCT p_type AS type_word FROM part",
 )
 def _(t: Tables):
-    folders = [_set_files(t, first, 16, False)[0] for first in (0, 16)]
-    return attribute_types(read_attributes(t.spark, folders))
+    # Attribute files with a line per part, named by its key and size.
+    name = F.concat_ws("_", F.lit("part"), "p_partkey", "p_size")
+    lines = t("part").select(name.alias("attribute"), F.col("p_type").alias("type_word"))
+    return attribute_types(read_attributes(t.spark, _write(t, lines, "attributes")))
 
 
 @query("read_many_files", RAIN_SUMS.format(where="WHERE year IN (1995, 1999, 2001)"))
@@ -266,20 +270,22 @@ def _(t: Tables):
 
 @query(
     "save_feature_sets",
-    """SELECT set_name, CAST(vec_id AS VARCHAR) AS track_id,
-              round(CAST(CASE set_name WHEN 'low' THEN embedding[1] ELSE embedding[17] END AS DOUBLE), 4) AS first_value
-       FROM embeddings, (VALUES ('low'), ('high')) s(set_name)""",
+    "SELECT set_name, CAST(vec_id AS VARCHAR) AS track_id, "
+    + ", ".join(
+        f"round(CAST(CASE set_name WHEN 'low' THEN embedding[{i + 1}] ELSE embedding[{i + 33}] END AS DOUBLE), 4) AS v{i}" for i in range(32)
+    )
+    + " FROM embeddings, (VALUES ('low'), ('high')) s(set_name)",
 )
 def _(t: Tables):
     spec = {}
-    for name, first in (("low", 0), ("high", 16)):
-        attributes, data = _set_files(t, first, 16, quoted=name == "high")
+    for name, first in (("low", 0), ("high", 32)):
+        attributes, data = _set_files(t, first, 32, quoted=name == "high")
         spec[name] = (_attribute_file(attributes), data)
     sets = load_feature_sets(t.spark, spec, scratch_path(t.spark, "sets"))
     out = None
     for name, df in sets.items():
-        first_value = F.round(df.columns[0], 4).alias("first_value")
-        part = df.select(F.lit(name).alias("set_name"), "track_id", first_value)
+        values = [F.round(c, 4).alias(f"v{i}") for i, c in enumerate(c for c in df.columns if c != "track_id")]
+        part = df.select(F.lit(name).alias("set_name"), "track_id", *values)
         out = part if out is None else out.unionByName(part)
     return out
 

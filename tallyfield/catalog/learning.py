@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyfield.catalog.columns import DRAW
@@ -75,6 +76,20 @@ def _(t: Tables):
     return explained_variance(t.feat, model)
 
 
+@query(
+    "explained_variance_totals",
+    "SELECT max(len(embedding)) AS components, 1.0::DOUBLE AS total, true AS falls FROM embeddings",
+)
+def _(t: Tables):
+    _, model = scaled_components(t.feat, FEATURES, len(FEATURES))
+    # One row per component.
+    shares = explained_variance(t.feat, model).withColumn("before", F.lag("share").over(Window.orderBy("component")))
+    return shares.agg(
+        F.count("share").alias("components"), F.round(F.sum("share"), 6).alias("total"),
+        F.bool_and(F.col("share") <= F.coalesce("before", "share")).alias("falls"),
+    )
+
+
 @query(
     "index_strings",
     """SELECT s_name, CAST(row_number() OVER (ORDER BY n DESC, s_name) - 1 AS INTEGER) AS idx FROM (

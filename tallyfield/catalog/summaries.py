@@ -21,6 +21,7 @@ from tallyfield.operators.aggregates import (
     share_of_total,
 )
 from tallyfield.operators.running import ecdf, rank_size, top_k_per_group
+from tallyfield.operators.tiles import correlation_tiles
 
 
 @query("row_count", "SELECT count(*) AS n FROM lineitem")
@@ -137,6 +138,16 @@ def _(t: Tables):
     return correlations(t.feat, FEATURES).withColumn("r", F.round("r", 4))
 
 
+@query(
+    "correlation_tiles",
+    " UNION ALL ".join(
+        f"SELECT '{a}' AS col_1, '{b}' AS col_2, round(corr({a}, {b}), 4) AS r FROM feat" for a, b in combinations(FEATURES, 2)
+    ),
+)
+def _(t: Tables):
+    return correlation_tiles(t.feat, FEATURES, 24).withColumn("r", F.round("r", 4))
+
+
 @query(
     "correlated_pairs",
     """SELECT 'quantity' AS col_1, 'price' AS col_2, round(corr(l_quantity, l_extendedprice), 4) AS r FROM lineitem

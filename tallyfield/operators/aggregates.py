@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfield.functions import is_blank, ratio
+from tallyfield.operators.tiles import correlation_tiles
 
 WIDE = 100
 
@@ -27,8 +28,8 @@ def share_of_total(df: DataFrame, by: Sequence[str], out: str = "share") -> Data
 
 
 def distribution(df: DataFrame, col: str) -> DataFrame:
-    """Rows per category, most frequent first."""
-    return df.groupBy(col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.asc(col))
+    """Rows per category, in no order."""
+    return df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
 
 
 def flag_counts(df: DataFrame, flag: str, out: str = "n") -> DataFrame:
@@ -102,10 +103,12 @@ def _moments(c: Column) -> list[Column]:
 def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(col_1, col_2, r) for every pair of columns; rows with a missing value are left out.
 
-    The matrix is accumulated per partition and merged, so its size depends on
-    the number of columns alone.
+    The matrix of few columns is summed by MLlib and listed here; that of more than ``WIDE`` is
+    summed in tiles, and its pairs stay rows (``correlation_tiles``).
     """
     cols = list(cols)
+    if len(cols) > WIDE:
+        return correlation_tiles(df, cols)
     assembler = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip")
     matrix = Correlation.corr(assembler.transform(df.select(*cols)), "_v").first()[0].toArray()
     rows = [

@@ -17,15 +17,11 @@ from tallyfield.session import pin
 
 
 def element_coverage(rows: DataFrame, elements: Sequence[str]) -> DataFrame:
-    """(element, observations, stations) for the chosen elements, most rows first."""
+    """(element, observations, stations) for the chosen elements, in no order."""
     chosen = rows.filter(F.col("element").isin(list(elements)))
     # Rows are first counted per (element, station): one element may own most rows.
     pairs = chosen.groupBy("element", "station_id").agg(F.count(F.lit(1)).alias("n"))
-    return (
-        pairs.groupBy("element")
-        .agg(F.sum("n").alias("observations"), F.count("station_id").alias("stations"))
-        .orderBy(F.desc("observations"), "element")
-    )
+    return pairs.groupBy("element").agg(F.sum("n").alias("observations"), F.count("station_id").alias("stations"))
 
 
 def presence_gaps(obs: DataFrame, a: str, b: str) -> DataFrame:
@@ -78,7 +74,7 @@ def annual_summary(
     good_only: bool = True,
     flag: str = "quality_flag",
 ) -> DataFrame:
-    """Average, count and sum per country and year, plus the average times 365.
+    """Average, count and sum per country and year, plus the average times 365; in no order.
 
     The rows are reduced to (station, year) before they meet the station table,
     so the join sees few rows however unevenly stations report. Year comes from
@@ -98,7 +94,6 @@ def annual_summary(
         .agg(F.sum("_n").alias("observations"), F.sum("_sum").alias("total"))
         .withColumn("avg_value", ratio("total", "observations"))
         .withColumn("avg_x365", F.col("avg_value") * 365)
-        .orderBy(F.desc("avg_value"), "country_code", "year")
     )
 
 
