@@ -13,7 +13,7 @@ from urllib.parse import urlsplit
 
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -276,48 +276,64 @@ def read_captures(entries: DataFrame, with_payload: bool = False) -> DataFrame:
     return placed.mapInPandas(read, RECORD)
 
 
-def lookup(queries: DataFrame, blocks: DataFrame, directory: DataFrame, url_col: str = "url") -> DataFrame:
-    """(url, page_id, file, offset, length, record_type) of every capture of each asked URL.
+def _key_column(url: Column) -> Column:
+    return F.pandas_udf(lambda urls: urls.map(surt), T.StringType())(url)
+
+
+def find_entries(keys: DataFrame, blocks: DataFrame, directory: DataFrame) -> DataFrame:
+    """The index lines (see ``ENTRY``) of every distinct value of ``keys.key``, each line once.
 
     The directory (bounded, see ``build_index``) is binary-searched for the blocks that can hold a
-    key, those blocks alone are read, and each is binary-searched again.
+    key, those blocks alone are read, and each is binary-searched again. A block is unpacked once and
+    its keys stream past it, so no list of keys is gathered.
     """
-    spark = queries.sparkSession
     found = sorted((r.first_key, r.block) for r in directory.select("first_key", "block").collect())
-    held = spark.sparkContext.broadcast(([k for k, _ in found], [b for _, b in found]))
+    held = keys.sparkSession.sparkContext.broadcast(([k for k, _ in found], [b for _, b in found]))
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def places(keys: pd.Series) -> pd.Series:
         first, block = held.value
         return pd.Series([block[max(bisect.bisect_left(first, k) - 1, 0) : bisect.bisect_right(first, k)] for k in keys])
 
-    key_of = F.pandas_udf(lambda urls: urls.map(surt), T.StringType())
-    asked = queries.select(F.col(url_col).alias("url")).distinct().withColumn("key", key_of(F.col("url")))
-    wanted = asked.withColumn("block", F.explode(places("key")))
-    per_block = wanted.groupBy("block", "key").agg(F.count(F.lit(1)).alias("n"))
-    hit = blocks.select("block", "body").join(per_block.select("block", "key"), "block")
+    wanted = keys.select("key").distinct().select(F.explode(places("key")).alias("block"), "key")
+    bodies = blocks.select("block", "body").join(wanted.select("block").distinct(), "block", "left_semi")
+    # A block's body comes before its keys: null sorts first.
+    both = wanted.withColumn("body", F.lit(None).cast("binary")).unionByName(
+        bodies.withColumn("key", F.lit(None).cast("string"))
+    )
+    placed = both.repartition("block").sortWithinPartitions("block", "key")
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept, lines, keys = None, [], []
+        kept, lines, first = None, [], []
         for batch in batches:
             out = []
-            for block, body, key in zip(batch["block"], batch["body"], batch["key"]):
-                if block != kept:
+            for block, key, body in zip(batch["block"], batch["key"], batch["body"]):
+                if key is None:
                     kept, lines = block, _lines(body)
-                    keys = [x[0] for x in lines]
-                out += lines[bisect.bisect_left(keys, key) : bisect.bisect_right(keys, key)]
+                    first = [x[0] for x in lines]
+                elif block != kept:
+                    raise ValueError(f"index block {block} is missing")
+                else:
+                    out += lines[bisect.bisect_left(first, key) : bisect.bisect_right(first, key)]
             yield pd.DataFrame(out, columns=[x.split()[0] for x in ENTRY.split(", ")]).astype({"page_id": "Int64"})
 
-    entries = hit.mapInPandas(search, ENTRY).distinct()
+    return placed.mapInPandas(search, ENTRY)
+
+
+def lookup(queries: DataFrame, blocks: DataFrame, directory: DataFrame, url_col: str = "url") -> DataFrame:
+    """(url, page_id, file, offset, length, record_type) of every capture of each asked URL, by ``find_entries``."""
+    asked = queries.select(F.col(url_col).alias("url")).distinct().withColumn("key", _key_column(F.col("url")))
+    entries = find_entries(asked, blocks, directory)
     return asked.join(entries, "key").select("url", "page_id", "file", "offset", "length", "record_type")
 
 
 def archive_and_read(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
-    """Write archives and their index, then read every record back through the index.
+    """Write archives and their index, then look every page's URL up in it and read its records back.
 
     One row per page: page_id, payload_bytes, payload_digest, record_type, refers_to. An empty table
     gives no rows.
     """
-    blocks, _ = build_index(write_archives(pages, None, id_col, url_col, payload_col))
-    found = read_captures(index_entries(blocks))
+    blocks, directory = build_index(write_archives(pages, None, id_col, url_col, payload_col))
+    asked = pages.select(F.col(url_col).alias("url")).distinct()
+    found = read_captures(find_entries(asked.select(_key_column(F.col("url")).alias("key")), blocks, directory))
     return found.select(F.col("page_id").alias(id_col), "payload_bytes", "payload_digest", "record_type", "refers_to")

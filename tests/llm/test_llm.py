@@ -427,6 +427,41 @@ def test_lookup_finds_every_capture(spark, monkeypatch):
     assert {r.payload.decode() for r in warc.read_captures(entries, True).collect() if r.payload} <= {"<p>é</p>"}
 
 
+def test_pages_are_read_back_through_the_directory(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BLOCK_LINES", 2)
+    build = warc.build_index
+
+    def with_strays(captures):
+        # Blocks the directory does not lead to: reading one fails.
+        blocks, directory = build(captures)
+        strays = spark.createDataFrame([(-1 - i, "b", 1, bytearray(b"no block")) for i in range(3)], blocks.schema)
+        return blocks.unionByName(strays), directory
+
+    monkeypatch.setattr(warc, "build_index", with_strays)
+    rows = PAGES + [(20 + i, "http://c.net", f"v{i}") for i in range(9)] + [(40 + i, f"http://c.net/{i // 2}", None) for i in range(9)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = bag(warc.archive_and_read(pages), "page_id", "payload_bytes")
+    assert found == Counter((i, len((h or "").encode())) for i, _, h in rows)
+
+
+def test_blocks_without_an_asked_key_are_not_read(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BLOCK_LINES", 2)
+    pages = spark.createDataFrame([(i, f"http://h{i:02}.org", "x") for i in range(20)], "page_id long, url string, html string")
+    blocks, directory = warc.build_index(warc.write_archives(pages))
+    keys = spark.createDataFrame([("org,h07)/",), ("org,h07)/",), ("org,h077)/",), ("a",)], "key string")
+    place = [r.block for r in directory.filter("first_key <= 'org,h07)/'").orderBy(F.desc("first_key")).limit(1).collect()]
+    last = [r.block for r in directory.filter("first_key <= 'org,h077)/'").orderBy(F.desc("first_key")).limit(1).collect()]
+    first = [r.block for r in directory.orderBy("first_key").limit(1).collect()]
+    # The block before one that begins with the key may end with it.
+    before = [r.block for r in directory.filter("first_key < 'org,h07)/'").orderBy(F.desc("first_key")).limit(1).collect()]
+    asked = F.col("block").isin(place + last + first + before)
+    blocks = blocks.withColumn("body", F.when(asked, F.col("body")).otherwise(F.lit(b"no block")))
+    assert bag(warc.find_entries(keys, blocks, directory), "key", "page_id") == Counter([("org,h07)/", 7)])
+    missing = blocks.filter(~F.col("block").isin(place))
+    with pytest.raises(Exception, match="is missing"):
+        warc.find_entries(keys, missing, directory).collect()
+
+
 def test_damaged_records_raise():
     record = warc.make_record(1, "u", b"abc", warc.sha1_base32(b"other"), None)
     with pytest.raises(ValueError):
