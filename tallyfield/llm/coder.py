@@ -93,19 +93,23 @@ def _order_zero(ids: list[np.ndarray], vocabulary: int, begin: int, end: int) ->
     They follow the order-0 counts before ``begin``: a value takes room 1, and ``_step`` more for each
     time it occurs there.
     """
-    start = np.zeros((len(ids), end - begin), np.uint32)
-    width, step = np.zeros_like(start), _step(vocabulary, begin)
-    for k, block in enumerate(ids):
-        now = block[begin:end].astype(np.int64)
-        if not begin:
-            start[k, : len(now)], width[k, : len(now)] = now * step, step
-            continue
-        counts = np.bincount(block[:begin], minlength=vocabulary)
-        upto, own = np.cumsum(counts).take(now), counts.take(now)
-        start[k, : len(now)] = now + step * (upto - own)
-        width[k, : len(now)] = 1 + step * own
-    start = np.ascontiguousarray(start.T)
-    return start, np.ascontiguousarray(width.T)
+    starts = np.empty((end - begin, len(ids)), np.uint32)
+    widths, step = np.empty_like(starts), _step(vocabulary, begin)
+    for first in range(0, len(ids), REBUILT // 4):
+        few = ids[first : first + REBUILT // 4]
+        start = np.zeros((len(few), end - begin), np.uint32)
+        width = np.zeros_like(start)
+        for k, block in enumerate(few):
+            now = block[begin:end].astype(np.int64)
+            if not begin:
+                start[k, : len(now)], width[k, : len(now)] = now * step, step
+                continue
+            counts = np.bincount(block[:begin], minlength=vocabulary)
+            upto, own = np.cumsum(counts).take(now), counts.take(now)
+            start[k, : len(now)] = now + step * (upto - own)
+            width[k, : len(now)] = 1 + step * own
+        starts[:, first : first + len(few)], widths[:, first : first + len(few)] = start.T, width.T
+    return starts, widths
 
 
 class _Counts:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: White space as the text operators define it: blank, tab, line feed, vertical tab, form feed, return.
@@ -41,6 +43,21 @@ def null_safe_key(*columns: str) -> Column:
     return F.concat(*parts)
 
 
+#: Bytes of one Arrow batch. A batch of texts is held by the JVM and twice by its Python worker.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Keep the session's Arrow batches within ``BATCH_BYTES``: 10,000 long texts, Spark's own limit, hold tens of MB.
+
+    A lower setting stays. Rows are the same, whatever the batches.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    number, unit = re.fullmatch(r"(\d+)([a-z]?).*", spark.conf.get(key).lower()).groups()
+    if int(number) << {"k": 10, "m": 20, "g": 30}.get(unit, 0) > BATCH_BYTES:
+        spark.conf.set(key, f"{BATCH_BYTES}b")
+
+
 def require(df: DataFrame, *columns: str) -> None:
     """Raise when a column is missing."""
     missing = [c for c in columns if c not in df.columns]

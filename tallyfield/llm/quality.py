@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyfield.llm.common import held_out, require
+from tallyfield.llm.common import bound_batches, held_out, require
 from tallyfield.session import pin
 
 #: Random features, kernel width in standard deviations, ridge weight, seed, and score bins for calibration.
@@ -222,6 +222,7 @@ def classify(
     other than 0 and 1 are not learned from. Without any usable label every score is 0.5.
     """
     require(docs, id_col, text_col)
+    bound_batches(docs.sparkSession)
     stats = pin(
         docs.select(F.col(id_col).alias("id"), document_statistics(F.col(text_col)).alias("stats")), "statistics"
     )
@@ -242,6 +243,7 @@ def drop_rejected(
     A first pass keeps the statistics of labelled documents; the second scores every row in place.
     """
     require(docs, id_col, text_col)
+    bound_batches(docs.sparkSession)
     known = labels.filter(F.col(label_col).isNotNull()).select(F.col(id_col).alias("id")).distinct()
     stats = docs.select(F.col(id_col).alias("id"), document_statistics(F.col(text_col)).alias("stats"))
     model = train_on_labels(stats.join(known, "id", "left_semi"), labels, id_col, label_col)

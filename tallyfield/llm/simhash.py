@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyfield.llm.common import require
+from tallyfield.llm.common import bound_batches, require
 from tallyfield.llm.components import connected_components
 from tallyfield.session import pin
 
@@ -376,6 +376,7 @@ def near_duplicates(
     null ids alone has a null component. An empty table gives no rows.
     """
     require(docs, id_col, text_col)
+    bound_batches(docs.sparkSession)
     rows = pin(docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), shingle).alias("fp")), "prints")
     # A fingerprint of very many copies is a hot key of narrow rows: adaptive skew handling splits it.
     return rows.join(_roots(rows, distance, F.col("id")), "fp").select("id", "fp", "component")
@@ -393,6 +394,7 @@ def keep_representatives(
     Of repeated rows with that id one stays. Columns and their order are those of ``docs``.
     """
     require(docs, id_col, text_col)
+    bound_batches(docs.sparkSession)
     tail = "_" + "".join(docs.columns)[:200]
     row, fp = f"row{tail}", "fp" if "fp" not in docs.columns else f"fp{tail}"
     whole = pin(

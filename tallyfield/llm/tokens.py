@@ -19,7 +19,7 @@ from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
 from tallyfield.llm.coder import decode_blocks, encode_blocks
-from tallyfield.llm.common import require
+from tallyfield.llm.common import bound_batches, require
 from tallyfield.session import pin, scratch_path
 
 #: Ids per block, blocks coded side by side, and words remembered per worker.
@@ -41,7 +41,8 @@ PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:
 class Words(dict):
     """Words of a tokenizer that neither keeps white space nor joins it to a word, encoded once and remembered.
 
-    Maps a word to its place in ``offsets``, which tells where its ids lie in ``ids``.
+    Maps a word to its ids as bytes. At half of ``REMEMBERED`` words a new generation begins, which
+    takes over from the one before only the words that it meets again.
     """
 
     def __init__(self, tokenizer):
@@ -61,7 +62,7 @@ class Words(dict):
     def forget(self) -> None:
         self.clear()
         self.runs.clear()
-        self.ids, self.offsets = array("I"), array("q", [0])
+        self.older: dict[str, bytes] = {}
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -82,27 +83,20 @@ class Words(dict):
             found = found + self.runs[rest]
         return found
 
-    def __missing__(self, word: str) -> int:
-        self.ids.extend(self.ids_of(word))
-        self.offsets.append(len(self.ids))
-        self[word] = place = len(self.offsets) - 2
-        return place
+    def __missing__(self, word: str) -> bytes:
+        found = self.older.get(word)
+        if found is None:
+            found = self.ids_of(word).tobytes()
+        self[word] = found
+        return found
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text."""
-        pieces = text.split()
-        if not pieces:
-            return np.zeros(0, np.uint32)
-        if len(self) > REMEMBERED:
-            self.forget()
-        place = np.fromiter(map(self.__getitem__, pieces), np.int64, len(pieces))
-        offsets = np.frombuffer(self.offsets, np.int64)
-        begin = offsets.take(place)
-        ends = np.cumsum(offsets.take(place + 1) - begin)
-        begin[1:] -= ends[:-1]
-        at = np.repeat(begin, np.diff(ends, prepend=0))
-        at += np.arange(len(at))
-        return np.frombuffer(self.ids, np.uint32).take(at)
+        if len(self) > REMEMBERED // 2:
+            self.older = dict(self)
+            self.clear()
+            self.runs.clear()
+        return np.frombuffer(b"".join(map(self.__getitem__, text.split())), np.uint32)
 
 
 def _encoder(text: str) -> Words:
@@ -139,6 +133,7 @@ def write_token_file(
     """
     require(docs, id_col, text_col)
     spark = docs.sparkSession
+    bound_batches(spark)
     folder = folder or scratch_path(spark, "token-file")
     with open(tokenizer_path, encoding="utf-8") as file:
         shared = spark.sparkContext.broadcast(file.read())
@@ -244,28 +239,36 @@ def read_token_file(df: DataFrame | None = None, spark=None, folder: str | None
     the lengths and checksums of their pieces.
     """
     blocks = df if df is not None else spark.read.schema(BLOCK).parquet(folder)
+    bound_batches(blocks.sparkSession)
     parts = blocks.groupBy("part").agg(F.sum(F.col("n").cast("bigint")).alias("size"))
     # One row per written file part.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = parts.select(F.col("part").alias("p"), F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
 
+    def pieces_of(batch: list) -> pd.DataFrame:
+        out = []
+        for b, ids in zip(batch, decode_blocks([b.body for b in batch])):
+            if len(ids) != b.n:
+                raise ValueError("block length differs")
+            data, at, last = ids.tobytes(), 0, len(b.doc_sizes) - 1
+            for k, (doc_id, size) in enumerate(zip(b.doc_ids, b.doc_sizes)):
+                size = int(size)
+                cut = (k == 0 and b.continues) or (k == last and not b.ends)
+                crc = zlib.crc32(data[4 * at : 4 * (at + size)])
+                doc = None if k < b.nulls else int(doc_id)
+                out.append((b.part, b.first_row + k, doc, b.offset + at, size, crc, not cut))
+                at += size
+        return pd.DataFrame(out, columns=[x.split()[0] for x in PIECE.split(", ")]).astype({"doc_id": "Int64"})
+
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for whole in batches:
-            for begin in range(0, len(whole), SIDE_BY_SIDE):
-                batch = whole.iloc[begin : begin + SIDE_BY_SIDE]
-                out = []
-                for b, ids in zip(batch.itertuples(index=False), decode_blocks(list(batch["body"]))):
-                    if len(ids) != b.n:
-                        raise ValueError("block length differs")
-                    data, at, last = ids.tobytes(), 0, len(b.doc_sizes) - 1
-                    for k, (doc_id, size) in enumerate(zip(b.doc_ids, b.doc_sizes)):
-                        size = int(size)
-                        cut = (k == 0 and b.continues) or (k == last and not b.ends)
-                        crc = zlib.crc32(data[4 * at : 4 * (at + size)])
-                        doc = None if k < b.nulls else int(doc_id)
-                        out.append((b.part, b.first_row + k, doc, b.offset + at, size, crc, not cut))
-                        at += size
-                yield pd.DataFrame(out, columns=[x.split()[0] for x in PIECE.split(", ")]).astype({"doc_id": "Int64"})
+        held = []
+        for batch in batches:
+            held += batch.itertuples(index=False)
+            while len(held) >= SIDE_BY_SIDE:
+                yield pieces_of(held[:SIDE_BY_SIDE])
+                held = held[SIDE_BY_SIDE:]
+        if held:
+            yield pieces_of(held)
 
     pieces = blocks.mapInPandas(decode, PIECE)
 

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tallyfield.llm import coder, components, decontaminate, langid, mixing, pii, quality, rules, secrets, simhash, tokens, warc
+from tallyfield.llm import coder, common, components, decontaminate, langid, mixing, pii, quality, rules, secrets, simhash, tokens, warc
 from tallyfield.llm.components import connected_components
 from tallyfield.llm.queries import tokenizer_path
 
@@ -226,6 +226,64 @@ def test_remembered_words_equal_the_tokenizer(monkeypatch):
         assert tokens.encode_text(text, words).tolist() == words.whole(text)
 
 
+def test_words_met_again_outlive_a_generation(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 40)
+    with open(tokenizer_path(), encoding="utf-8") as file:
+        words = tokens.Words(tokens.Tokenizer.from_str(file.read()))
+    asked = Counter()
+    ids_of = words.ids_of
+    words.ids_of = lambda word: asked.update([word]) or ids_of(word)
+    for i in range(200):
+        assert tokens.encode_text(f"often w{i}", words).tolist() == words.whole(f"often w{i}")
+        assert len(words) + len(words.older) <= 46
+    assert asked["often"] == 1 and asked.total() == 201
+
+
+def test_batches_of_texts_are_bounded(spark, docs, empty, monkeypatch):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    before = spark.conf.get(key)
+    try:
+        for run in (
+            lambda: quality.drop_rejected(empty, labels),
+            lambda: simhash.keep_representatives(empty),
+            lambda: tokens.write_token_file(empty, tokenizer_path()),
+        ):
+            for found, kept in (("64m", f"{common.BATCH_BYTES}b"), ("1g", f"{common.BATCH_BYTES}b"), ("1m", "1m"), ("77777", "77777")):
+                spark.conf.set(key, found)
+                run()
+                assert spark.conf.get(key) == kept
+        long = spark.range(0, 200, 1, 1).select(F.repeat(F.lit("x"), 10000).alias("t"))
+        rows = long.mapInPandas(lambda batches: (pd.DataFrame({"n": [len(b)]}) for b in batches), "n int").collect()
+        assert max(r.n for r in rows) <= 120 and sum(r.n for r in rows) == 200
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_blocks_of_several_batches_are_decoded_side_by_side(spark, docs, monkeypatch):
+    monkeypatch.setattr(tokens, "BLOCK_IDS", 100)
+    columns = ["doc_id", "start", "n_tokens", "ids_crc32"]
+    want = bag(tokens.encode_and_read(docs, tokenizer_path()), *columns)
+    folder = tokens.write_token_file(docs, tokenizer_path())
+    monkeypatch.setattr(tokens, "SIDE_BY_SIDE", 7)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "3")
+
+    def counted(blocks):
+        if len(blocks) not in (7, total % 7):
+            raise ValueError("blocks of one batch alone")
+        return coder.decode_blocks(blocks)
+
+    try:
+        blocks = spark.read.schema(tokens.BLOCK).parquet(folder).coalesce(1)
+        total = blocks.count()
+        monkeypatch.setattr(tokens, "decode_blocks", counted)
+        assert bag(tokens.read_token_file(blocks), *columns) == want
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_coder_counts_agree_at_every_rebuild(monkeypatch):
     monkeypatch.setattr(coder, "REBUILD", (4, 32, 200))
     rng = np.random.default_rng(3)
