@@ -1,7 +1,8 @@
-"""An adaptive range coder for token ids: order-0 to order-2 predictions, many blocks at a time.
+"""An adaptive range coder for token ids: order-0 to order-2 predictions, many lanes of a block at a time.
 
-Blocks are independent, so numpy codes one id of every block per step; each block keeps its own
-predictions and can be decoded alone.
+Blocks are independent. A block is cut into lanes of equal length, and numpy codes one id of every lane per
+step. The lanes of a block share their predictions, which are worked out anew from all ids so far whenever
+those reach the next of ``REBUILD``; in between they stand still.
 """
 
 from __future__ import annotations
@@ -12,322 +13,284 @@ import zlib
 import numpy as np
 
 MAGIC = b"TFID"
-VERSION = 2
+VERSION = 3
 HEADER = struct.Struct("<4sBxHIIII")
-#: Slots of the prediction tables, and ids after which the order-0 counts are rebuilt.
-ONE_BITS, TWO_BITS = 11, 12
-REBUILD = (256, 1024, 4096, 16384)
-#: Blocks whose counts are worked out at a time.
-REBUILT = 128
+#: Ids of a lane at least and at most, and lanes that a block should have.
+SHORTEST, LONGEST, LANES = 64, 512, 4096
+#: Ids of a block after which its predictions are worked out anew.
+REBUILD = tuple(1 << k for k in (8, 11, 14, 16, 18, 19))
+#: Slots of the order-2 guesses, and bits of a guess that tell its trust.
+TWO_BITS, TRUST_BITS = 17, 3
+ID_BITS = 20
 TOTAL_BITS = 20
 PROB_BITS = 16
-LEARN = 5
-FLOOR, SPAN = 63, 65536 - 63
+#: Room that a guess, and what no guess meets, has at least.
+FLOOR = 64
 #: The interval is at most 2**56 wide and is widened by 16 bits while it is below 2**40.
 SHIFT, DIGIT = 40, 16
 TOP, START = 1 << SHIFT, 1 << 55
 LOW_MASK = TOP - 1
+#: Ids whose rooms are looked up at a time by the encoder.
+LOOKED_UP = 1 << 16
 
 
-class _Model:
-    """Predictions of a row of blocks: an order-1 and an order-2 guess and mixing weights.
-
-    The guesses are ids with a trust of 0 to 3 in the two lowest bits. By both trusts, adaptive chances
-    tell how often the order-2 guess, or else the order-1 guess, is right; the rest of the interval
-    belongs to the order-0 counts.
-    """
+def _steps(length: int) -> int:
+    """Ids per lane of a block; the last lane may hold fewer."""
+    return min(LONGEST, max(SHORTEST, -(-length // LANES)), length)
 
-    def __init__(self, blocks: int):
-        self.one = np.zeros(blocks << ONE_BITS, np.int32)
-        self.two = np.zeros(blocks << TWO_BITS, np.int32)
-        self.hit_two = np.full(blocks << 4, 1 << 14, np.int64)
-        self.hit_one = np.full(blocks << 4, 1 << 14, np.int64)
-        row = np.arange(blocks, dtype=np.int64)
-        self.row_one, self.row_two, self.row_mix = row << ONE_BITS, row << TWO_BITS, row << 4
-        self.last = np.zeros(blocks, np.int64)
-        self.mixed = np.zeros(blocks, np.int64)
 
-    def guess(self, k: int) -> tuple:
-        """Slots, guesses and the two interval widths for the first ``k`` blocks."""
-        last = self.last[:k] * 40503
-        one = (last >> 5) & ((1 << ONE_BITS) - 1)
-        one += self.row_one[:k]
-        two = ((last + self.mixed[:k]) >> 6) & ((1 << TWO_BITS) - 1)
-        two += self.row_two[:k]
-        held_one, held_two = self.one.take(one), self.two.take(two)
-        trust_one, trust_two = held_one & 3, held_two & 3
-        mix = self.row_mix[:k] + (trust_two << 2)
-        mix += trust_one
-        first = self.hit_two.take(mix)
-        second = (65536 - first) * self.hit_one.take(mix)
-        second >>= PROB_BITS
-        second += second == 0
-        return one, two, mix, held_one, held_two, trust_one, trust_two, first, second
+def _rebuilds(lanes: int) -> set[int]:
+    """Steps before which the predictions are worked out anew."""
+    return {-(-ids // lanes) for ids in REBUILD}
 
-    def learn(self, k: int, ids: np.ndarray, state: tuple, right_two: np.ndarray, right_one: np.ndarray) -> None:
-        """Take in the ids just coded. Chances move towards FLOOR or 65536 and so stay within 63 and 65505."""
-        one, two, mix, held_one, held_two, trust_one, trust_two, first, _ = state
-        self.hit_two[mix] = first + ((right_two * SPAN + FLOOR - first) >> LEARN)
-        old = self.hit_one.take(mix)
-        self.hit_one[mix] = np.where(right_two, old, old + ((right_one * SPAN + FLOOR - old) >> LEARN))
-        fresh = ids << 2
-        self.two[two] = np.where(
-            right_two, held_two + (trust_two < 3), np.where(trust_two > 0, held_two - 1, fresh)
-        )
-        self.one[one] = np.where(
-            (held_one >> 2) == ids, held_one + (trust_one < 3), np.where(trust_one > 0, held_one - 1, fresh)
-        )
-        np.multiply(self.last[:k], 30011, out=self.mixed[:k])
-        self.last[:k] = ids
 
+class _Model:
+    """Predictions of the lanes of a block: an order-1 and an order-2 guess and order-0 counts.
 
-def _step(vocabulary: int, upto: int) -> int:
-    """Room that each of the first ``upto`` ids adds to its value; without any, the room of every value."""
-    total = 1 << TOTAL_BITS
-    return (total - vocabulary) // upto if upto else total // vocabulary
+    A guess is the commonest id behind the last one or two, with a trust of 0 (none) to 7 in its lowest
+    bits. By both trusts, chances counted over the ids before tell how often the order-2 guess, or else the
+    order-1 guess, is right; the rest of the interval belongs to the order-0 counts, in which a value takes
+    room 1, and more in proportion to its count.
+    """
 
+    def __init__(self, vocabulary: int):
+        self.vocabulary = vocabulary
+        self.one = np.full(vocabulary, -1 << TRUST_BITS, np.int32)
+        self.two = np.full(1 << TWO_BITS, -1 << TRUST_BITS, np.int32)
+        self.done = 0
+        trust = np.arange(1 << 2 * TRUST_BITS)
+        # Before anything is counted, a trust stands for a share of eight cases.
+        self.cases = np.full(len(trust), 8.0)
+        self.right = np.stack([(trust >> TRUST_BITS) * 1.0, (trust & 7) * 0.5])
+        self._chances()
+        self._order_zero(np.zeros(0, np.int64))
 
-def _order_zero(ids: list[np.ndarray], vocabulary: int, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """Start and width of the ids from ``begin`` to ``end`` of each block, a row per place.
+    def _chances(self) -> None:
+        """Bounds in the interval, for both trusts: order-2 guess, order-1 guess, neither."""
+        share = np.rint(self.right / self.cases * (65536 - 4 * FLOOR)).astype(np.int64) + FLOOR
+        trust = np.arange(share.shape[1])
+        first = np.where(trust >> TRUST_BITS, np.minimum(share[0], 65536 - 2 * FLOOR), 0)
+        both = np.where(trust & 7, np.minimum(first + share[1], 65536 - FLOOR), first)
+        self.bounds = np.stack([np.zeros_like(first), first, both, np.full_like(first, 65536)], axis=1).reshape(-1)
 
-    They follow the order-0 counts before ``begin``: a value takes room 1, and ``_step`` more for each
-    time it occurs there.
-    """
-    starts = np.empty((end - begin, len(ids)), np.uint32)
-    widths, step = np.empty_like(starts), _step(vocabulary, begin)
-    for first in range(0, len(ids), REBUILT // 4):
-        few = ids[first : first + REBUILT // 4]
-        start = np.zeros((len(few), end - begin), np.uint32)
-        width = np.zeros_like(start)
-        for k, block in enumerate(few):
-            now = block[begin:end].astype(np.int64)
-            if not begin:
-                start[k, : len(now)], width[k, : len(now)] = now * step, step
-                continue
-            counts = np.bincount(block[:begin], minlength=vocabulary)
-            upto, own = np.cumsum(counts).take(now), counts.take(now)
-            start[k, : len(now)] = now + step * (upto - own)
-            width[k, : len(now)] = 1 + step * own
-        starts[:, first : first + len(few)], widths[:, first : first + len(few)] = start.T, width.T
-    return starts, widths
+    def _order_zero(self, ids: np.ndarray) -> None:
+        """Start and width of every value, and the value at every place, from the counts."""
+        room = (1 << TOTAL_BITS) - self.vocabulary
+        if len(ids):
+            self.width = 1 + np.bincount(ids, minlength=self.vocabulary) * room // len(ids)
+        else:
+            self.width = np.full(self.vocabulary, 1 + room // self.vocabulary, np.int64)
+        self.start = np.cumsum(self.width) - self.width
+        self.place = None
 
+    def values(self) -> np.ndarray:
+        """The value at every place."""
+        return np.repeat(np.arange(self.vocabulary, dtype=np.int32), self.width)
 
-class _Counts:
-    """Order-0 counts of a row of blocks while they are decoded: the ids so far in order.
+    @staticmethod
+    def slots(last: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Order-2 slot of an id pair."""
+        return ((last * 40503 + before * 2654435) >> 5) & ((1 << TWO_BITS) - 1)
 
-    Occurrence i of a block's sorted ids has its room at id + step * i, so the rooms lie at least a step
-    apart and a bucket no wider than a step holds the start of one at most: the bucket's number of
-    earlier starts and one comparison find the place of a value.
-    """
+    @staticmethod
+    def _guesses(slots: np.ndarray, ids: np.ndarray, out: np.ndarray) -> None:
+        """Put the commonest id of each slot into ``out``, the largest of several."""
+        keys = np.sort((slots << ID_BITS | ids).reshape(-1))
+        if not len(keys):
+            return
+        ends = np.flatnonzero(np.append(keys[1:] != keys[:-1], True))
+        count, kinds = np.diff(ends, prepend=-1), keys[ends]
+        slot = kinds >> ID_BITS
+        first = np.flatnonzero(np.append(True, slot[1:] != slot[:-1]))
+        best = np.maximum.reduceat(count << ID_BITS | kinds & ((1 << ID_BITS) - 1), first)
+        total, count = np.add.reduceat(count, first), best >> ID_BITS
+        trust = np.where(total == 1, 1, 2 + np.minimum(5, 6 * count // total))
+        out[slot[first]] = (best & ((1 << ID_BITS) - 1)) << TRUST_BITS | trust
 
-    def __init__(self, vocabulary: int):
-        self.upto, self.step = 0, _step(vocabulary, 0)
+    def look_up(self, last: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Both guesses behind the ids ``before`` and ``last``, and the place of their bounds."""
+        one, two = self.one.take(last), self.two.take(self.slots(last, before))
+        return one, two, ((two & 7) << 5 | (one & 7) << 2).astype(np.int64)
 
-    def rebuild(self, columns: np.ndarray, vocabulary: int) -> None:
-        """Take the counts of all ids so far, given as a column per block."""
-        upto, rows = columns.shape
-        self.upto, self.step = upto, _step(vocabulary, upto)
-        self.bits = self.step.bit_length() - 1
-        self.buckets = 1 << (TOTAL_BITS - self.bits)
-        self.earlier = self.keys = self.start = self.width = None
-        self.earlier = np.empty(rows * self.buckets, np.int16 if upto < 1 << 15 else np.int32)
-        self.keys, self.start, self.width = (np.empty(rows * (upto + 1), np.int32) for _ in range(3))
-        for begin in range(0, rows, REBUILT):
-            end = min(begin + REBUILT, rows)
-            self._fill(np.ascontiguousarray(columns[:, begin:end].T, np.int32), begin)
+    def rebuild(self, rows: np.ndarray) -> None:
+        """Take in all ids so far, given as a row per step."""
+        upto, lanes = rows.shape
+        some = max(1, LOOKED_UP // lanes)
+        cases, right = np.zeros_like(self.cases), np.zeros_like(self.right)
+        for begin in range(max(2, self.done), upto, some):
+            end = min(begin + some, upto)
+            now = rows[begin:end].reshape(-1)
+            one, two, at = self.look_up(rows[begin - 1 : end - 1].reshape(-1).astype(np.int64), rows[begin - 2 : end - 2].reshape(-1).astype(np.int64))
+            right_two = two >> TRUST_BITS == now
+            right_one = (one >> TRUST_BITS == now) > right_two
+            at >>= 2
+            cases += np.bincount(at, minlength=len(cases))
+            right[0] += np.bincount(at[right_two], minlength=len(cases))
+            right[1] += np.bincount(at[right_one], minlength=len(cases))
+        # What was counted with fewer ids known weighs less.
+        self.cases, self.right = self.cases / 4 + cases, self.right / 4 + right
+        self.done = upto
+        self._chances()
+        wide = rows.astype(np.int64)
+        self._order_zero(wide.reshape(-1))
+        self._guesses(wide[:-1], wide[1:], self.one)
+        self._guesses(self.slots(wide[1:-1], wide[:-2]), wide[2:], self.two)
 
-    def _fill(self, ids: np.ndarray, begin: int) -> None:
-        rows, upto = ids.shape
-        held, place = np.sort(ids, axis=1), np.arange(upto, dtype=np.int32)
-        keys = np.full((rows, upto + 1), 1 << 30, np.int32)
-        np.add(held, place * np.int32(self.step), out=keys[:, :upto])
-        earlier = np.zeros((rows, self.buckets + 1), np.int32)
-        earlier[np.arange(rows)[:, None], (keys[:, :upto] >> self.bits) + 1] = 1
-        counted = slice(begin * self.buckets, (begin + rows) * self.buckets)
-        self.earlier[counted] = np.cumsum(earlier, axis=1, dtype=np.int32)[:, :-1].reshape(-1)
-        differs = held[:, 1:] != held[:, :-1]
-        first, end = np.zeros((rows, upto), np.int32), np.full((rows, upto), upto, np.int32)
-        np.maximum.accumulate(np.where(differs, place[1:], 0), axis=1, out=first[:, 1:])
-        end[:, :-1] = np.minimum.accumulate(np.where(differs, place[1:], upto)[:, ::-1], axis=1)[:, ::-1]
-        start, width = np.zeros((rows, upto + 1), np.int32), np.zeros((rows, upto + 1), np.int32)
-        start[:, :upto], width[:, :upto] = held + self.step * first, 1 + self.step * (end - first)
-        mine = slice(begin * (upto + 1), (begin + rows) * (upto + 1))
-        self.keys[mine], self.start[mine], self.width[mine] = keys.reshape(-1), start.reshape(-1), width.reshape(-1)
 
-    def find(self, blocks: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(id, start, width) of the ids in whose room the values lie."""
-        if not self.upto:
-            ids = value // self.step
-            return ids, ids * self.step, np.full(len(ids), self.step, np.int64)
-        before = self.earlier.take(blocks * self.buckets + (value >> self.bits)).astype(np.int64)
-        at = blocks * (self.upto + 1) + before
-        passed = self.keys.take(at) <= value
-        before += passed
-        at += passed
-        at -= 1
-        key = self.keys.take(at, mode="wrap")
-        counted = (before > 0) & (value <= key + self.step)
-        ids = np.where(counted, key + self.step, value) - self.step * before
-        start = np.where(counted, self.start.take(at, mode="wrap"), value)
-        return ids, start, np.where(counted, self.width.take(at, mode="wrap"), 1)
+def _check(ids: np.ndarray, vocabulary: int) -> None:
+    if vocabulary > 1 << ID_BITS - 1:
+        raise ValueError("the vocabulary is too large")
+    if len(ids) and not 0 <= int(ids.min()) <= int(ids.max()) < vocabulary:
+        raise ValueError("an id lies outside the vocabulary")
 
 
-def _descending(lengths: np.ndarray) -> np.ndarray:
-    """How many of the blocks, longest first, still have an id at each step."""
-    return np.searchsorted(-lengths, -np.arange(int(lengths[0])), side="left")
+def _encode(ids: np.ndarray, vocabulary: int, steps: int) -> bytes:
+    """The digits of each lane behind their counts."""
+    lanes = -(-len(ids) // steps)
+    padded = np.zeros(steps * lanes, np.uint16 if vocabulary <= 1 << 16 else np.int32)
+    padded[: len(ids)] = ids
+    # Two rows of zeros stand before the first ids.
+    rows = np.zeros((steps + 2, lanes), padded.dtype)
+    rows[2:] = padded.reshape(lanes, steps).T
+    shortest = len(ids) - (lanes - 1) * steps  # of the last lane
+    model, rebuilds = _Model(vocabulary), _rebuilds(lanes)
+    low, size = np.zeros(lanes, np.int64), np.full(lanes, START, np.int64)
+    digits, put = [], []
+    upto = 0
+    for t in range(steps):
+        if t in rebuilds:
+            model.rebuild(rows[2 : t + 2])
+        if t == upto or t in rebuilds:
+            begin, upto = t, min([steps, t + max(1, LOOKED_UP // lanes), *(x for x in rebuilds if x > t)])
+            now = rows[begin + 2 : upto + 2].reshape(-1)
+            one, two, at = model.look_up(
+                rows[begin + 1 : upto + 1].reshape(-1).astype(np.int64), rows[begin:upto].reshape(-1).astype(np.int64)
+            )
+            right_two = two >> TRUST_BITS == now
+            right_one = one >> TRUST_BITS == now
+            at += np.where(right_two, 0, np.where(right_one, 1, 2))
+            miss = ~(right_two | right_one)
+            start = model.bounds.take(at)
+            width = model.bounds.take(at + 1) - start
+            inner = np.where(miss, model.start.take(now), 0)
+            share = np.where(miss, model.width.take(now), 1 << TOTAL_BITS)
+            start, width, inner, share = (x.reshape(upto - begin, lanes) for x in (start, width, inner, share))
+        k = t - begin
+        unit = size >> PROB_BITS
+        low += unit * start[k]
+        unit *= width[k]
+        unit >>= TOTAL_BITS
+        low += unit * inner[k]
+        np.multiply(unit, share[k], out=size)
+        if t >= shortest:  # the last lane is over
+            size[-1], low[-1] = TOP, last_low
+        while True:
+            small = size < TOP
+            if not small.any():
+                break
+            digits.append((low >> SHIFT).astype(np.int32))
+            put.append(small)
+            by = small * np.int64(DIGIT)
+            low = np.where(small, low & LOW_MASK, low) << by
+            size <<= by
+        if t + 1 >= shortest:
+            last_low = low[-1]
+    # A multiple of TOP lies in an interval of at least TOP; what follows its digit is zero.
+    low += TOP - 1
+    digits.append((low >> SHIFT).astype(np.int32))
+    put.append(np.ones(lanes, bool))
+    put = np.array(put)
+    flat = np.array(digits).T[put.T]
+    while True:  # a digit of 2**16 or more carries into the one before it
+        carry = flat >> DIGIT
+        if not carry.any():
+            break
+        flat &= 0xFFFF
+        flat[:-1] += carry[1:]
+    return put.sum(axis=0, dtype="<u4").tobytes() + flat.astype("<u2").tobytes()
 
 
 def encode_blocks(ids: list[np.ndarray], vocabulary: int = 1 << 16) -> list[bytes]:
     """One self-contained, checksummed byte string per block of ids."""
-    if not ids:
-        return []
-    if vocabulary + REBUILD[-1] > 1 << TOTAL_BITS:
-        raise ValueError("the vocabulary is too large")
-    order = sorted(range(len(ids)), key=lambda i: -len(ids[i]))
-    lengths = np.array([len(ids[i]) for i in order])
-    n, longest = len(ids), int(lengths[0])
-    blocks = [np.asarray(ids[i]) for i in order]
-    columns = np.zeros((longest, n), np.uint16 if vocabulary <= 1 << 16 else np.int32)
-    for k, block in enumerate(blocks):
-        if len(block) and not 0 <= int(block.min()) <= int(block.max()) < vocabulary:
-            raise ValueError("an id lies outside the vocabulary")
-        columns[: lengths[k], k] = block
-    model = _Model(n)
-    # The order-0 rooms are held for one stretch between two rebuilds at a time.
-    stretches = {b: min(e, longest) for b, e in zip((0, *REBUILD), (*REBUILD, longest)) if b < longest}
-    low, size = np.zeros(n, np.int64), np.full(n, START, np.int64)
-    room = 3 * longest + 8
-    digits = np.zeros(n * room, np.int32)
-    place = np.arange(n, dtype=np.int64) * room
-    begin = place.copy()
-    for t, k in enumerate(_descending(lengths)):
-        if t in stretches:
-            from_t, starts, widths = t, None, None
-            starts, widths = _order_zero(blocks[:k], vocabulary, t, stretches[t])
-        now = columns[t, :k].astype(np.int32)
-        state = model.guess(k)
-        held_one, held_two, first, second = state[3], state[4], state[7], state[8]
-        right_two = (held_two >> 2) == now
-        right_one = ((held_one >> 2) == now) > right_two
-        start = np.where(right_two, 0, first)
-        width = np.where(right_two, first, second)
-        miss = np.flatnonzero(~(right_two | right_one))
-        unit = size[:k] >> PROB_BITS
-        if len(miss):
-            used = (first + second).take(miss)
-            start[miss] = used
-            width[miss] = 65536 - used
-        lows, sizes = low[:k], size[:k]
-        lows += unit * start
-        np.multiply(unit, width, out=sizes)
-        if len(miss):
-            unit = sizes.take(miss) >> TOTAL_BITS
-            lows[miss] += unit * starts[t - from_t].take(miss)
-            sizes[miss] = unit * widths[t - from_t].take(miss)
-        small = np.flatnonzero(sizes < TOP)
-        while len(small):
-            value = lows.take(small)
-            digits[place.take(small)] = value >> SHIFT
-            place[small] += 1
-            lows[small] = (value & LOW_MASK) << DIGIT
-            wide = sizes.take(small) << DIGIT
-            sizes[small] = wide
-            small = small[wide < TOP]
-        model.learn(k, now, state, right_two, right_one)
-    del columns, model
-    starts = widths = None
-    for _ in range(4):
-        digits[place] = low >> SHIFT
-        place += 1
-        low = (low & LOW_MASK) << DIGIT
-    rows = digits.reshape(n, room)[:, : int((place - begin).max())]
-    while True:  # a digit of 2**16 or more carries into the one before it
-        carry = rows >> 16
-        if not carry.any():
-            break
-        rows &= 0xFFFF
-        rows[:, :-1] += carry[:, 1:]
-    out: list[bytes] = [b""] * n
-    for k, i in enumerate(order):
-        raw = np.ascontiguousarray(ids[i], "<u4").tobytes()
-        body = rows[k, : place[k] - begin[k]].astype("<u2").tobytes()
-        out[i] = HEADER.pack(MAGIC, VERSION, 0, vocabulary, len(ids[i]), zlib.crc32(raw), zlib.crc32(body)) + body
+    out = []
+    for block in ids:
+        block = np.asarray(block)
+        _check(block, vocabulary)
+        steps = _steps(len(block))
+        body = _encode(block, vocabulary, steps) if steps else b""
+        crc = zlib.crc32(np.ascontiguousarray(block, "<u4").tobytes())
+        out.append(HEADER.pack(MAGIC, VERSION, steps, vocabulary, len(block), crc, zlib.crc32(body)) + body)
     return out
 
 
+def _decode(body: bytes, steps: int, vocabulary: int, length: int) -> np.ndarray:
+    """The ids of a block, lane behind lane."""
+    lanes = -(-length // steps)
+    counts = np.frombuffer(body, "<u4", lanes).astype(np.int64)
+    flat = np.frombuffer(body, "<u2", offset=4 * lanes)
+    room = int(counts.max()) + 5
+    table = np.zeros((lanes, room), np.int64)
+    table[np.arange(room) < counts[:, None]] = flat
+    # 56 bits are looked at: three digits and half of the fourth, so the digits are put half a digit further.
+    ahead = (table[:, 0] << SHIFT) | (table[:, 1] << 24) | (table[:, 2] << 8) | (table[:, 3] >> 8)
+    table[:, :-1] = (table[:, :-1] & 0xFF) << 8 | table[:, 1:] >> 8
+    digits = table.astype(np.uint16).reshape(-1)
+    place = np.arange(lanes, dtype=np.int64) * room + 3
+    shortest = length - (lanes - 1) * steps
+    size = np.full(lanes, START, np.int64)
+    model, rebuilds = _Model(vocabulary), _rebuilds(lanes)
+    rows = np.zeros((steps, lanes), np.uint16 if vocabulary <= 1 << 16 else np.int32)
+    last = before = np.zeros(lanes, np.int64)
+    values = None
+    for t in range(steps):
+        if t in rebuilds:
+            values = None
+            model.rebuild(rows[:t])
+        if values is None:
+            values, bounds, inner, share = model.values(), model.bounds, model.start, model.width
+        one, two, at = model.look_up(last, before)
+        unit = size >> PROB_BITS
+        value = ahead // unit
+        not_two = value >= bounds.take(at + 1)
+        miss = value >= bounds.take(at + 2)
+        at += not_two
+        at += miss
+        start = bounds.take(at)
+        ahead -= unit * start
+        at += 1
+        unit *= bounds.take(at) - start
+        unit >>= TOTAL_BITS
+        found = values.take(ahead // unit, mode="clip").astype(np.int64)
+        ahead -= unit * np.where(miss, inner.take(found), 0)
+        np.multiply(unit, np.where(miss, share.take(found), 1 << TOTAL_BITS), out=size)
+        now = np.where(miss, found, np.where(not_two, one, two) >> TRUST_BITS)
+        if t >= shortest:  # the last lane is over
+            now[-1], size[-1], ahead[-1] = 0, TOP, 0
+        while True:
+            small = size < TOP
+            if not small.any():
+                break
+            by = small * np.int64(DIGIT)
+            ahead = ahead << by | digits.take(place) * small
+            size <<= by
+            place += small
+        rows[t] = now
+        last, before = now, last
+    return rows.T.reshape(-1)[:length]
+
+
 def decode_blocks(blocks: list[bytes]) -> list[np.ndarray]:
     """The ids of each block; a damaged block raises."""
-    if not blocks:
-        return []
-    heads = []
+    out = []
     for data in blocks:
-        magic, version, _, vocabulary, length, ids_crc, body_crc = HEADER.unpack_from(data)
+        magic, version, steps, vocabulary, length, ids_crc, body_crc = HEADER.unpack_from(data)
         if magic != MAGIC or version != VERSION:
             raise ValueError("not a block of token ids")
-        if zlib.crc32(data[HEADER.size :]) != body_crc:
+        body = data[HEADER.size :]
+        if zlib.crc32(body) != body_crc:
             raise ValueError("block checksum differs")
-        heads.append((vocabulary, length, ids_crc))
-    if len({h[0] for h in heads}) > 1:
-        return [decode_blocks([b])[0] for b in blocks]
-    vocabulary, n = heads[0][0], len(blocks)
-    order = sorted(range(n), key=lambda i: -heads[i][1])
-    lengths = np.array([heads[i][1] for i in order])
-    bodies = [np.frombuffer(blocks[i], "<u2", offset=HEADER.size) for i in order]
-    room = max(map(len, bodies)) + 4
-    rows = np.zeros((n, room), np.uint16)
-    for k, body in enumerate(bodies):
-        rows[k, : len(body)] = body
-    digits, first = rows.reshape(-1), rows[:, :4].astype(np.int64)
-    model, counts = _Model(n), _Counts(vocabulary)
-    columns = np.zeros((int(lengths[0]), n), np.uint16 if vocabulary <= 1 << 16 else np.int32)
-    size = np.full(n, START, np.int64)
-    ahead = (first[:, 0] << SHIFT) | (first[:, 1] << 24) | (first[:, 2] << 8)
-    # 56 bits are looked at: three digits and half of the fourth, so digits are read in two halves.
-    ahead |= first[:, 3] >> 8
-    place = np.arange(n, dtype=np.int64) * room + 3
-    for t, k in enumerate(_descending(lengths)):
-        if t in REBUILD:
-            counts.rebuild(columns[:t, :k], vocabulary)
-        state = model.guess(k)
-        held_one, held_two, first, second = state[3], state[4], state[7], state[8]
-        heads_on, sizes = ahead[:k], size[:k]
-        unit = sizes >> PROB_BITS
-        value = heads_on // unit
-        right_two = value < first
-        both = first + second
-        right_one = (value < both) > right_two
-        start = np.where(right_two, 0, first)
-        width = np.where(right_two, first, second)
-        now = np.where(right_two, held_two, held_one) >> 2
-        miss = np.flatnonzero(value >= both)
-        if len(miss):
-            used = both.take(miss)
-            start[miss] = used
-            width[miss] = 65536 - used
-        heads_on -= unit * start
-        np.multiply(unit, width, out=sizes)
-        if len(miss):
-            unit = sizes.take(miss) >> TOTAL_BITS
-            rest = heads_on.take(miss)
-            found, start, width = counts.find(miss, rest // unit)
-            heads_on[miss] = rest - unit * start
-            sizes[miss] = unit * width
-            now[miss] = found
-        small = np.flatnonzero(sizes < TOP)
-        while len(small):
-            at = place.take(small)
-            part = ((digits.take(at).astype(np.int64) & 0xFF) << 8) | (digits.take(at + 1) >> 8)
-            ahead[small] = (heads_on.take(small) << DIGIT) | part
-            place[small] = at + 1
-            wide = sizes.take(small) << DIGIT
-            sizes[small] = wide
-            small = small[wide < TOP]
-        columns[t, :k] = now
-        model.learn(k, now, state, right_two, right_one)
-    out: list[np.ndarray] = [np.zeros(0, np.uint32)] * n
-    for k, i in enumerate(order):
-        found = columns[: lengths[k], k].astype("<u4")
-        if zlib.crc32(found.tobytes()) != heads[i][2]:
+        found = _decode(body, steps, vocabulary, length).astype("<u4") if length else np.zeros(0, np.uint32)
+        if zlib.crc32(found.tobytes()) != ids_crc:
             raise ValueError("decoded ids fail their checksum")
-        out[i] = found
+        out.append(found)
     return out

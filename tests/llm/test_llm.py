@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
@@ -239,6 +240,51 @@ def test_words_met_again_outlive_a_generation(monkeypatch):
     assert asked["often"] == 1 and asked.total() == 201
 
 
+def test_texts_encoded_together_equal_the_tokenizer(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 60)
+    monkeypatch.setattr(tokens, "TOGETHER", 7)
+    with open(tokenizer_path(), encoding="utf-8") as file:
+        words = tokens.Words(tokens.Tokenizer.from_str(file.read()))
+    calls = Counter()
+    ids_of = words.ids_of
+    words.ids_of = lambda word: calls.update([word]) or ids_of(word)
+    rng = np.random.default_rng(5)
+    letters = [chr(c) for c in range(33, 256)] + list("e\u0301\u03a3\u0130\u4e2d\u200b\ufb01\u1e9e\u0663")
+    blanks = [" ", " ", "\n", "\u00a0", "\u2003", "\x85"] * 12
+    plain = list("aeinrstAEZ\u00e9\u00c9\u00df\u00d7.,!_'") + [" "] * 4
+    for _ in range(40):
+        texts = ["".join(rng.choice(letters + blanks if k % 4 else plain, int(rng.integers(80)))) for k in range(9)]
+        texts += ["", " ", "\x1c", "a\x1f b it's", " <|endoftext|>", "x<|startoftext|>y", " It's THE!! nd.,", "often, Often\u00e9 OFTEN"]
+        texts = [texts[k] for k in rng.permutation(len(texts))]
+        ids, sizes = tokens.encode_texts(pa.array(["left out", *texts]).slice(1), words)
+        found = [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+        assert found == [words.whole(x) for x in texts]
+        assert len(words.place) == len(words.sizes) == len(words.met) and words.sizes.sum() == len(words.pool)
+    # Letters alone never reach the library one by one, and a frequent run outlives the others.
+    assert not any(len(x) > 1 and x.isascii() and x.isalpha() for x in calls) and "often" in words.place
+    none, sizes = tokens.encode_texts(pa.array([], pa.string()), words)
+    assert len(none) == len(sizes) == 0
+    words.ends[:] = False  # a model that does not mark the ends of words
+    words.forget()
+    ids, sizes = tokens.encode_texts(pa.array(["often Often, not"]), words)
+    assert ids.tolist() == words.whole("often Often, not") and calls["often"] == 1
+
+
+def test_lanes_of_a_block_share_a_step_and_their_predictions(monkeypatch):
+    rng = np.random.default_rng(9)
+    ids = rng.zipf(1.2, 300_000).clip(1, 49408) - 1
+    steps = []
+    encoded = coder.encode_blocks([ids], 49408)
+    look_up = coder._Model.look_up
+    monkeypatch.setattr(coder._Model, "look_up", lambda model, *x: steps.append(1) or look_up(model, *x))
+    assert coder.decode_blocks(encoded)[0].tolist() == ids.tolist()
+    assert len(steps) < 200
+    share = np.bincount(ids)[ids] / len(ids)
+    assert len(encoded[0]) < 1.2 * -np.log2(share).sum() / 8
+    for n in (63, 64, 65, 4095, 4096, 4097, 4096 * 64 + 1, 4096 * 65 - 1):
+        assert coder.decode_blocks(coder.encode_blocks([ids[:n]], 49408))[0].tolist() == ids[:n].tolist()
+
+
 def test_batches_of_texts_are_bounded(spark, docs, empty, monkeypatch):
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     labels = spark.createDataFrame([], "doc_id long, quality int")
