@@ -118,6 +118,8 @@ def top_k_per_group(
         .filter(F.col(out) <= k)
         .drop("_place", "_n")
     )
+    # Written once: the join measures the ranks before it reads them.
+    ranks = pin(ranks, "ranks")
     same = null_safe_key(df, [*part, column])
     found = keyed_join(df.withColumn("_key", same), ranks.select(same.alias("_key"), out), ["_key"], "inner")
     return found.select(*df.columns, out)

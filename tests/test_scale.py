@@ -57,6 +57,23 @@ def test_salted_join_of_two_key_types(spark):
     assert joined.count() == 60 and joined.filter("r = 2").count() == 20
 
 
+def test_salted_join_on_columns_named_like_its_own(spark):
+    left = spark.createDataFrame([(i % 3, i, "x") for i in range(60)], "_key int, _salts int, _Spread string")
+    right = spark.createDataFrame([(0, 1), (1, 2)], "_key int, _salt int")
+    joined = scale.salted_join(left, right, ["_key"], "inner", hot_rows=5)
+    assert joined.columns == ["_key", "_salts", "_Spread", "_salt"]
+    assert sorted(map(tuple, joined.collect())) == sorted((i % 3, i, "x", i % 3 + 1) for i in range(60) if i % 3 < 2)
+
+
+def test_top_k_with_rank_ties_beyond_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(scale, "fits_broadcast", lambda *a: False)
+    df = skewed(spark)
+    out = top_k_per_group(df, ["k"], [("v", True)], 5, ties="rank")
+    w = Window.partitionBy("k").orderBy(F.desc_nulls_last("v"))
+    plain = df.withColumn("rank", F.rank().over(w).cast("bigint")).filter("rank <= 5")
+    assert out.exceptAll(plain).isEmpty() and plain.exceptAll(out).isEmpty()
+
+
 def test_salt_spreads_identical_rows(spark):
     copies = spark.createDataFrame([("hot", 1)] * 4000, "k string, v int").repartition(8)
     right = spark.createDataFrame([("hot", 9)], "k string, r int")
