@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -24,6 +25,8 @@ NO_VARIATION = 1e-12
 RESULT = (
     "component int, n long, deviation long, whitened double, explained double, identity_error double"
 )
+#: The type of deviations when one may not fit into a long.
+WIDE = "decimal(38,0)"
 
 
 def quantised(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -85,6 +88,28 @@ def _centred(batch: pd.DataFrame, n: int, sums: np.ndarray) -> np.ndarray:
     return n * x - sums
 
 
+def largest_deviation(vectors: DataFrame, n: int, sums: np.ndarray) -> int:
+    """A bound on the deviation of any vector, from the lowest and highest entry of each dimension."""
+    cells = vectors.select(F.posexplode("x").alias("i", "v")).groupBy("i").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    # One row per dimension, in Python's unbounded whole numbers.
+    ends = [(n * c["lo"] - int(sums[c["i"]]), n * c["hi"] - int(sums[c["i"]])) for c in cells.collect()]
+    return sum(max(-lo, hi, 0) ** 2 for lo, hi in ends)
+
+
+def _squares(d: np.ndarray) -> np.ndarray:
+    """The sum of squares of each row as Python's whole numbers, exact at any size.
+
+    Entries are cut into two halves whose products still add up within 64 bits.
+    """
+    bits = (62 - int(d.shape[1]).bit_length()) // 2
+    if int(np.abs(d).max()) >> (2 * bits):
+        return (d.astype(object) ** 2).sum(axis=1)
+    low = d & ((1 << bits) - 1)
+    high = d >> bits
+    parts = [(a * b).sum(axis=1).astype(object) for a, b in ((high, high), (high, low), (low, low))]
+    return (parts[0] << (2 * bits)) + (parts[1] << (bits + 1)) + parts[2]
+
+
 def covariance(vectors: DataFrame, n: int, sums: np.ndarray) -> np.ndarray:
     """Weighted covariance of the vectors, divisor ``n``.
 
@@ -147,7 +172,7 @@ def whiten(
     Components are numbered from 1 by falling eigenvalue; there are at most as many as dimensions.
 
     A null, empty or non-finite vector has no row. Equal vectors and repeated ids keep a row each; a null
-    id stays null. A component without variation is null, explains 0 and stays out of the identity error.
+    id stays null. Deviations are long, or decimal(38,0) when one may pass 64 bits. A component without variation is null, explains 0 and stays out of the identity error.
     Vectors of different lengths raise a ValueError. An empty table gives no rows.
     """
     require(rows, id_col, vec_col)
@@ -158,6 +183,10 @@ def whiten(
         return rows.select(F.col(id_col)).limit(0).select(
             id_col, *[F.lit(None).cast(t).alias(c) for c, t in (f.split() for f in RESULT.split(", "))]
         )
+    bound = largest_deviation(vectors, n, sums)
+    if bound >= 10**38:
+        raise OverflowError("a deviation has more than 38 digits")
+    wide = bound >= 1 << 63
     axes, values, shares = principal_axes(covariance(vectors, n, sums), components)
     used = [i for i, share in enumerate(shares) if share > 0]
     scales = np.array([1 / np.sqrt(values[i]) if i in used else np.nan for i in range(len(values))])
@@ -167,14 +196,14 @@ def whiten(
             if not len(batch):
                 continue
             d = _centred(batch, n, sums)
-            if float(np.abs(d).max()) ** 2 * d.shape[1] >= 2.0**63:
-                raise OverflowError("a deviation does not fit into 64 bits")
+            deviation = [Decimal(v) for v in _squares(d)] if wide else (d * d).sum(axis=1)
             white = (d / n) @ axes * scales
             yield pd.DataFrame(
-                {"key": batch["key"], "w": batch["w"], "deviation": (d * d).sum(axis=1), "white": list(white)}
+                {"key": batch["key"], "w": batch["w"], "deviation": deviation, "white": list(white)}
             )
 
-    white = vectors.mapInPandas(project, "key binary, w long, deviation long, white array<double>")
+    kind = WIDE if wide else "long"
+    white = vectors.mapInPandas(project, f"key binary, w long, deviation {kind}, white array<double>")
     white = pin(white, "whitened")
     error = _identity_error(white, n, used)
     joined = keyed_join(coded.select("id", "key"), white.drop("w"), ["key"], "inner")

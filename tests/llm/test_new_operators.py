@@ -61,6 +61,27 @@ def test_whitening_weights_of_one_and_salted_join(spark, monkeypatch):
     assert sum(r.vec_id is None for r in found) == 4
 
 
+def test_whitening_of_deviations_beyond_64_bits(spark):
+    # Few distinct vectors, so many rows: n times an entry's distance from the mean passes 2**31.5.
+    rows = spark.range(1_200_000).selectExpr(
+        "id AS vec_id", "CASE id % 3 WHEN 0 THEN array(0.9D, -0.8D) WHEN 1 THEN array(-0.7D, 5.1D) ELSE array(5.5D, 0.2D) END AS embedding")
+    white = whitening.whiten(rows)
+    assert dict(white.dtypes)["deviation"] == "decimal(38,0)"
+    found = {(r.vec_id, r.component): r for r in white.filter("vec_id < 3").collect()}
+    x = [[int(np.floor(1024 * c)) + 100_000 for c in v] for v in ((0.9, -0.8), (-0.7, 5.1), (5.5, 0.2))]
+    sums = [400_000 * sum(v[i] for v in x) for i in range(2)]
+    want = [sum((1_200_000 * v[i] - sums[i]) ** 2 for i in range(2)) for v in x]
+    assert max(want) > 1 << 63 and len(found) == 6
+    assert all(int(r.deviation) == want[i] and r.identity_error < 1e-9 for (i, _), r in found.items())
+
+
+def test_whitening_squares_of_any_size():
+    rng = np.random.default_rng(2)
+    for bits in (20, 30, 55, 61):
+        d = rng.integers(-(1 << bits), 1 << bits, (7, 64))
+        assert list(whitening._squares(d)) == [sum(int(v) ** 2 for v in row) for row in d]
+
+
 def test_whitening_without_variation_ragged_large_and_empty(spark):
     kind = "vec_id long, embedding array<double>"
     same = whitening.whiten(spark.createDataFrame([(1, [0.5, 1.0]), (2, [0.5, 2.0])], kind)).collect()
