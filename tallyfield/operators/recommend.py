@@ -13,6 +13,10 @@ from tallyfield.session import pin, shared_dir
 
 # Training settings used by default.
 MAX_ITER, REG_PARAM, SEED = 5, 0.01, 1000
+# MLlib's own number of blocks holds up to 40 million ratings; beyond, blocks are added to keep their size.
+BLOCKS, RATINGS_PER_BLOCK = 10, 4_000_000
+# With more blocks, factors are checkpointed every second iteration, so that older shuffle files can go.
+CHECKPOINT_EVERY = 2
 # Items of the first round and how much each later round grows.
 FIRST_ITEMS, GROWTH = 20, 32
 MAX_BLOCKS = 10_000
@@ -32,10 +36,18 @@ def als_fit(
     implicit: bool = True,
     **params,
 ) -> ALSModel:
-    """Fit on integer user and item ids; factor lineage is cut in the shared folder."""
+    """Fit on integer user and item ids; factor lineage is cut in the shared folder.
+
+    Ratings are counted first: a task holds one block of them, so their number grows with the table. Give
+    ``numUserBlocks`` and ``numItemBlocks`` to fix it.
+    """
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(shared_dir(df.sparkSession))
+    blocks = max(BLOCKS, -(-df.count() // RATINGS_PER_BLOCK))
+    settings = {"numUserBlocks": blocks, "numItemBlocks": blocks}
+    if blocks > BLOCKS:
+        settings["checkpointInterval"] = CHECKPOINT_EVERY
     als = ALS(
         maxIter=max_iter,
         regParam=reg,
@@ -45,7 +57,7 @@ def als_fit(
         seed=seed,
         implicitPrefs=implicit,
         coldStartStrategy="drop",
-        **params,
+        **{**settings, **params},
     )
     return als.fit(df)
 

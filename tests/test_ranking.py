@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 
 from tallyfield.operators import evaluation
-from tallyfield.operators.recommend import best_items
+from tallyfield.operators import recommend as recommending
+from tallyfield.operators.recommend import als_fit, best_items
 
 RATING = "user int, item int, score double"
 
@@ -95,3 +96,21 @@ def test_ranking_rows_need_a_rating_for_a_cut_and_may_be_empty(spark):
         evaluation.ranking_rows(none, none, 5, "user", "item", "score", None, 3)
     rows = evaluation.ranking_rows(none, none, 5, "user", "item", "score")
     assert rows.collect() == [] and evaluation.hit_ndcg(rows, 5).first()[0] is None
+
+
+def _ratings(spark):
+    rows = [(i % 13, (i * 7 + i // 13) % 29, float(1 + i % 5)) for i in range(150)]
+    return spark.createDataFrame(rows, RATING).withColumnRenamed("score", "rating")
+
+
+def test_als_blocks_grow_with_the_ratings(spark, monkeypatch):
+    given = []
+    als = recommending.ALS
+    monkeypatch.setattr(recommending, "ALS", lambda **params: given.append(params) or als(**params))
+    ratings = _ratings(spark)
+    als_fit(ratings, max_iter=1)
+    monkeypatch.setattr(recommending, "RATINGS_PER_BLOCK", 11)
+    model = als_fit(ratings, max_iter=2)
+    als_fit(ratings, max_iter=1, numUserBlocks=2)
+    assert [(p["numUserBlocks"], p["numItemBlocks"], p.get("checkpointInterval")) for p in given] == [(10, 10, None), (14, 14, 2), (2, 14, 2)]
+    assert model.userFactors.count() == 13 and model.itemFactors.count() == 29
