@@ -7,7 +7,7 @@ import pytest
 
 from tallyfield.operators import evaluation
 from tallyfield.operators import recommend as recommending
-from tallyfield.operators.recommend import als_fit, best_items
+from tallyfield.operators.recommend import als_fit, best_items, recommend
 
 RATING = "user int, item int, score double"
 
@@ -114,3 +114,29 @@ def test_als_blocks_grow_with_the_ratings(spark, monkeypatch):
     als_fit(ratings, max_iter=1, numUserBlocks=2)
     assert [(p["numUserBlocks"], p["numItemBlocks"], p.get("checkpointInterval")) for p in given] == [(10, 10, None), (14, 14, 2), (2, 14, 2)]
     assert model.userFactors.count() == 13 and model.itemFactors.count() == 29
+
+
+def test_recommend_beyond_the_pairs_limit_equals_blocked_products(spark, monkeypatch):
+    model = als_fit(_ratings(spark))
+    blocked = {(r.user, r["rank"]): r for r in recommend(model, 4).collect()}
+    monkeypatch.setattr(recommending, "ALL_PAIRS", 0)
+    monkeypatch.setattr(recommending.ALSModel, "recommendForAllUsers", None)
+    rows = recommend(model, 4).collect()
+    assert len(rows) == len(blocked) == 13 * 4
+    assert all(r.score == pytest.approx(blocked[r.user, r["rank"]].score, rel=1e-5, abs=1e-6) for r in rows)
+
+
+@pytest.mark.parametrize("rooms", [(3, 3), (1, 400)])
+def test_candidates_hold_the_best_of_a_block(rooms):
+    rng = np.random.default_rng(4)
+    u = rng.normal(0, 1, (40, 5)).astype(np.float32).astype(float)
+    v = rng.normal(0, 1, (333, 5)).astype(np.float32).astype(float)
+    u[7] = 0.0
+    v[100:120] = v[5]  # equal scores
+    kth = np.where(np.arange(40) % 3 == 0, np.nan, 1.5)
+    room = rng.integers(rooms[0], rooms[1] + 1, 40)
+    who, what, scores = recommending._candidates(u, v, kth, room)
+    for i in range(40):
+        s = [float(sum((a * b for a, b in zip(u[i], other)), 0.0)) for other in v]
+        want = [j for j in sorted(range(333), key=lambda j: (-s[j], j)) if not s[j] < kth[i]][: room[i]]
+        assert list(what[who == i]) == want and list(scores[who == i]) == [s[j] for j in want]
