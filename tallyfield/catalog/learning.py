@@ -222,9 +222,9 @@ def _(t: Tables):
 @query("als_compare_for_users")
 def _(t: Tables):
     ratings = pin(indexed(t.saved_plays), "ratings")
-    recs = recommend(als_fit(ratings), 10)
     busiest = ratings.groupBy("user").agg(F.sum("play_count").alias("plays"))
-    users = top_n(busiest, [F.desc("plays"), "user"], 3).select("user")
+    users = pin(top_n(busiest, [F.desc("plays"), "user"], 3).select("user"), "busiest")
+    recs = recommend(als_fit(ratings), 10, users=users)
     return compare_for_users(recs, ratings, users, 10)
 
 

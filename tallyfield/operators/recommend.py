@@ -82,17 +82,21 @@ def als_score(model: ALSModel, pairs: DataFrame) -> DataFrame:
     return model.transform(pairs)
 
 
-def recommend(model: ALSModel, k: int, exclude_seen: DataFrame | None = None) -> DataFrame:
+def recommend(
+    model: ALSModel, k: int, exclude_seen: DataFrame | None = None, users: DataFrame | None = None
+) -> DataFrame:
     """(user, item, score, rank): the ``k`` best items of every user over all items.
 
     With ``exclude_seen`` (rows of user and item) no seen item is returned, and every user still gets the
-    best ``k`` of the others. :func:`best_items` does the work,
+    best ``k`` of the others. With ``users`` only these users are served. :func:`best_items` does the work,
     or MLlib's blocked products when nothing is excluded and there are at most ``ALL_PAIRS`` pairs.
     """
     user, item = model._java_obj.getUserCol(), model._java_obj.getItemCol()
     people = model.userFactors.select(F.col("id").alias(user), "features")
+    if users is not None:
+        people = restrict(people, users, user)
     if exclude_seen is None and people.count() * model.itemFactors.count() <= ALL_PAIRS:
-        found = model.recommendForAllUsers(k)
+        found = model.recommendForAllUsers(k) if users is None else model.recommendForUserSubset(users, k)
         rows = found.select(user, F.posexplode("recommendations").alias("_pos", "_rec"))
         return rows.select(
             user,

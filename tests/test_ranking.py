@@ -140,3 +140,15 @@ def test_candidates_hold_the_best_of_a_block(rooms):
         s = [float(sum((a * b for a, b in zip(u[i], other)), 0.0)) for other in v]
         want = [j for j in sorted(range(333), key=lambda j: (-s[j], j)) if not s[j] < kth[i]][: room[i]]
         assert list(what[who == i]) == want and list(scores[who == i]) == [s[j] for j in want]
+
+
+def test_recommend_for_some_users_serves_only_them(spark, monkeypatch):
+    ratings = _ratings(spark)
+    model = als_fit(ratings)
+    some = spark.createDataFrame([(3,), (8,), (3,), (99,)], "user int")
+    want = {tuple(r) for r in recommend(model, 4).filter("user IN (3, 8)").collect()}
+    unseen = {tuple(r) for r in recommend(model, 4, ratings).filter("user IN (3, 8)").collect()}
+    assert {tuple(r) for r in recommend(model, 4, ratings, some).collect()} == unseen
+    monkeypatch.setattr(recommending.ALSModel, "recommendForAllUsers", None)
+    rows = recommend(model, 4, users=some).collect()
+    assert len(rows) == 8 and {tuple(r) for r in rows} == want
